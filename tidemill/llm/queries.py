@@ -22,6 +22,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.common import crc_fold
+    from tidemill.llm.quality import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", (crc_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,6 +40,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.common import crc_fold
+    from tidemill.llm.language import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs)).select("doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -42,7 +59,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_quality": op2_quality,
     "op4_token_counts": op4_token_counts,
+    "op6_language": op6_language,
     "op8_byte_bpe": op8_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
