@@ -40,6 +40,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.simhash import components
+
+    out = components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemill.llm.common import crc_fold
     from tidemill.llm.language import fit, identify
@@ -61,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
     "op4_token_counts": op4_token_counts,
+    "op5_simhash": op5_simhash,
     "op6_language": op6_language,
     "op8_byte_bpe": op8_byte_bpe,
 }
