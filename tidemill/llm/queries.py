@@ -64,6 +64,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.substring import dedup
+
+    return dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -71,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_language": op6_language,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_substring": op9_substring,
 }
 ORACLE_SQL: dict[str, str] = {}
