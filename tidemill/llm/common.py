@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one vectorised step looks at; one longer document is a step of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.ones(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = False
@@ -36,8 +36,11 @@ FOLD[65:91] += 32
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once for each application."""
+    """Send this package to the executors' Python, once for each application, and hold Arrow batches of long texts to a few MB."""
     sc = spark.sparkContext
+    most = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(most, "4m").rstrip("b") == str(64 << 20):  # as it comes, not as somebody has set it
+        spark.conf.set(most, "4m")
     if getattr(sc, "_tidemill_sent", False):
         return
     root = Path(__file__).resolve().parents[2]
