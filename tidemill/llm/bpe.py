@@ -7,42 +7,52 @@ from collections.abc import Callable, Sequence
 from typing import Any
 
 
-def merged(ids: Sequence[int], pair: Callable[[tuple[int, int]], tuple[int, int] | None]) -> list[int]:
-    """`ids` after all merges. pair((left, right)) -> (rank, id) or None. Lowest rank first, then leftmost; n log n steps."""
+SHIFT = 20  # of the left id in a pair's key
+
+
+def merged(ids: Sequence[int], rank: Callable[[int, int], int], made: Sequence[int]) -> list[int]:
+    """`ids` after all merges: lowest rank first, then leftmost, in n log n steps.
+
+    rank(left << SHIFT | right, -1) gives a pair's rank or -1, made[rank] the id that it becomes.
+    """
     n = len(ids)
-    if n < 2:
-        return list(ids)
     ids = list(ids)
-    right = list(range(1, n + 1))
-    left = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        if got := pair((ids[i], ids[i + 1])):
-            heap.append((got[0], i, ids[i], ids[i + 1], got[1]))
+    own = [rank(a << SHIFT | b, -1) for a, b in zip(ids, ids[1:])]  # the rank of the pair that begins here  # noqa: B905
+    heap = [r << 32 | i for i, r in enumerate(own) if r >= 0]
+    if not heap:
+        return ids
     heapq.heapify(heap)
+    own.append(-1)
+    right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, a, b, new = heapq.heappop(heap)
-        if ids[i] != a:
+        top = pop(heap)
+        i, r = top & 0xFFFFFFFF, top >> 32
+        if own[i] != r:
             continue
         j = right[i]
-        if j >= n or ids[j] != b:
-            continue
-        ids[i], ids[j] = new, -1
+        ids[i] = new = made[r]
+        ids[j] = own[j] = -1
         right[i] = k = right[j]
         if k < n:
             left[k] = i
-            if got := pair((new, ids[k])):
-                heapq.heappush(heap, (got[0], i, new, ids[k], got[1]))
+            own[i] = r = rank(new << SHIFT | ids[k], -1)
+            if r >= 0:
+                push(heap, r << 32 | i)
+        else:
+            own[i] = -1
         h = left[i]
-        if h >= 0 and (got := pair((ids[h], new))):
-            heapq.heappush(heap, (got[0], h, ids[h], new, got[1]))
+        if h >= 0:
+            own[h] = r = rank(ids[h] << SHIFT | new, -1)
+            if r >= 0:
+                push(heap, r << 32 | h)
     return [x for x in ids if x >= 0]
 
 
 class Recent(dict):
     """A memo of bounded size: two generations, of which the older goes when the younger is full."""
 
-    def __init__(self, make: Callable[[Any], Any], most: int = 150_000):
+    def __init__(self, make: Callable[[Any], Any], most: int = 300_000):
         super().__init__()
         self.make, self.most, self.old = make, most, {}
 

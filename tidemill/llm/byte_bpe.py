@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.bpe import Recent, merged
+from tidemill.llm.bpe import SHIFT, Recent, merged
 from tidemill.llm.common import map_texts, mix, running, ship, word_hashes
 
 FIELDS = T.StructType().add("ids", T.ArrayType(T.IntegerType()), False).add("decoded", T.BinaryType(), False)
@@ -99,20 +99,16 @@ class Codec:
         ids = np.array([ranks[t] for t in tokens])
         self.begin[ids], self.size[ids] = start, length
         self.single = [ranks[bytes([b])] for b in range(256)]
+        # every way in which a token is made of two
+        self.pairs = {ranks[t[:k]] << SHIFT | ranks[t[k:]]: i for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
 
     def ready(self) -> Codec:
         """With what a task needs besides."""
         import regex
 
         self.find = regex.compile(self.pattern).findall
-        back = {i: t for t, i in self.ranks.items()}
-        get, token = self.ranks.get, back.__getitem__
-
-        def pair(ab: tuple[int, int]) -> tuple[int, int] | None:
-            rank = get(token(ab[0]) + token(ab[1]))
-            return None if rank is None else (rank, rank)
-
-        self.memo = Recent(lambda piece: merged([self.single[b] for b in piece], pair))
+        get, single, made = self.pairs.get, self.single, range(len(self.size))
+        self.memo = Recent(lambda piece: merged([single[b] for b in piece], get, made))
         return self
 
     def split(self, raw: bytes) -> np.ndarray:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemill.llm.bpe import Recent, merged
+from tidemill.llm.bpe import SHIFT, Recent, merged
 from tidemill.llm.common import map_texts
 
 FIELDS = T.StructType().add("n_bytes", T.LongType(), False).add("n_tokens", T.LongType(), False)
@@ -45,10 +45,11 @@ class Vocabulary:
         letters = byte_letters()
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + suffix] for c in letters]
-        self.pairs = {}
+        self.pairs, self.made = {}, []
         for rank, merge in enumerate(model["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.pairs.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.pairs.setdefault(vocab[a] << SHIFT | vocab[b], rank)
+            self.made.append(vocab[a + b])
         back = {c: b for b, c in enumerate(letters)}
         self.whole = set()
         for word in vocab:
@@ -64,7 +65,7 @@ class Vocabulary:
 
     def merged_count(self, raw: bytes) -> int:
         """Tokens of one pre-token's bytes, by merging."""
-        return len(merged([*(self.inner[b] for b in raw[:-1]), self.last[raw[-1]]], self.pairs.get))
+        return len(merged([*(self.inner[b] for b in raw[:-1]), self.last[raw[-1]]], self.pairs.get, self.made))
 
 
 def counter(vocabulary: Vocabulary):
