@@ -31,6 +31,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", (crc_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.common import crc_fold
+    from tidemill.llm.context_tree import score
+
+    out = score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", (crc_fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -73,6 +81,7 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
+    "op3_lm_score": op3_lm_score,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_language": op6_language,
