@@ -78,6 +78,25 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from tidemill.llm.common import shared_dir
+    from tidemill.llm.warc import page_number, page_records, read_warc, write_warc
+
+    path = f"{shared_dir(spark)}/tidemill/warc-{uuid.uuid4().hex}"
+    write_warc(page_records(table(spark, sf_dir, "pages")), path)
+    back = read_warc(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    whole = F.col("record_type") == "response"  # a revisit's payload is told by its headers
+    return back.select(
+        page_number("record_id").alias("page_id"),
+        F.when(whole, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.regexp_replace("payload_digest", "^sha256:", "")).alias("payload_digest"),
+        "record_type",
+        page_number("refers_to").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -87,5 +106,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language": op6_language,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring": op9_substring,
+    "op10_warc": op10_warc,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+             d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+             f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM f""",
 }
-ORACLE_SQL: dict[str, str] = {}
