@@ -87,7 +87,7 @@ def _gzip_length(head: bytes) -> int | None:
     at, past = 12, 12 + size
     while at + 4 <= min(past, len(head)):
         kind, n = head[at : at + 2], struct.unpack_from("<H", head, at + 2)[0]
-        if kind == b"sl" and n >= 8:
+        if kind == b"sl" and n >= 8 and at + 8 <= len(head):
             return struct.unpack_from("<I", head, at + 4)[0] or None
         at += 4 + n
     return None
@@ -98,6 +98,7 @@ def records(file, at: int, past: int, packed: bool, want, payloads: bool) -> Ite
     source = _Source(file, at, past)
     while source.at < past and source.need(18 if packed else 1):
         if packed:
+            source.need(512)  # or what is left
             length = _gzip_length(source.buffer[:512])
             unzip, text, fed = zlib.decompressobj(31), b"", 0
             while _END not in text and not unzip.eof:
