@@ -63,6 +63,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs)).select("doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.forest import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_language": op6_language,
+    "op7_nearest": op7_nearest,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring": op9_substring,
     "op10_warc": op10_warc,
