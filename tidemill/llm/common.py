@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -65,15 +66,17 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared folder and read it again: lineage ends here, and lost executors cost no recompute.
 
-    Shuffle files of the plan that ends here are given back as soon as the JVM notices that nobody refers to them, so it is asked to look.
+    Shuffle files of the plan that ends here are given back once the JVM notices that nobody refers to them, so it is asked to look.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemill/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     schema = df.schema
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what reports on a plan lets go of it a little after its end
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -82,7 +85,7 @@ def crc_fold(key: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(folds)
 
 
-def shards(df: DataFrame, bytes_each: int = 12 << 20) -> int:
+def shards(df: DataFrame, bytes_each: int = 5 << 20) -> int:
     """How many shards keep a shard near `bytes_each` of stored input; follows the plan's size estimate, at least the shuffle width."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
