@@ -86,13 +86,16 @@ def crc_fold(key: Column, folds: int) -> Column:
 
 
 def shards(df: DataFrame, bytes_each: int = 5 << 20) -> int:
-    """How many shards keep a shard near `bytes_each` of stored input; follows the plan's size estimate, at least the shuffle width."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """How many shards keep a shard near `bytes_each` of stored input; follows the plan's size estimate, and is at least the number of cores."""
+    spark = df.sparkSession
+    least = max(1, spark.sparkContext.defaultParallelism)
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # a session without a JVM handle has no estimate
         size = 0
-    return max(width, min(-(-size // bytes_each), 4_000_000) if size < 1 << 60 else width)
+    if size >= 1 << 60:  # no estimate either
+        return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, min(-(-size // bytes_each), 4_000_000))
 
 
 # --- scans -----------------------------------------------------------------

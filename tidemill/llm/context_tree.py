@@ -142,7 +142,7 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
     if not 1 <= depth <= 6:
         raise ValueError("depth: from 1 to 6")
     ship(docs.sparkSession)
-    parts = shards(docs) | 1
+    parts = shards(docs, 12 << 20) | 1  # larger ones share more of their grams and words
     use = crc_fold(F.col("__key"), 5) != 1 if use is None else use
     own = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.when(F.col(f"`{key}`").isNull(), F.col(f"`{text}`"))), F.lit(parts)).cast("int")
     new = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
