@@ -24,7 +24,7 @@ def offset_us(exchange: str) -> int:
 def micros(ts: Column | str) -> Column:
     """Epoch microseconds of a timestamp without a time zone."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), ts.cast("timestamp_ntz"))
 
 
 def floor_div(a: Column, b: int) -> Column:
