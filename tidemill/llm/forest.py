@@ -143,7 +143,7 @@ class Best:
         self.row[q[keep], place[keep]] = i[keep]
 
 
-def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding", every: int = 100, k: int = 10, trees: int = 64, leaf: int = 32, share: float = 0.6, sample: int = 8192, block: int = 4096, seed: int = 7) -> DataFrame:
+def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding", every: int = 100, k: int = 10, trees: int = 64, leaf: int = 32, share: float = 0.9, sample: int = 8192, block: int = 4096, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` nearest rows found for each row whose key is divisible by `every`, by Euclidean distance.
 
     `sample` bounds the rows that the trees are fitted on (those of the smallest hashes of their keys); all rows are indexed. `share` is the part of
