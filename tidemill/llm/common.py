@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import time
@@ -150,6 +151,10 @@ def map_texts(df: DataFrame, text: str, carry: Sequence[str], fields: T.StructTy
                 rows = batch.slice(i, j - i)
                 out = work(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], rows)
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *out], names=names)
+        del work
+        for k, _ in enumerate(_POWER):
+            _POWER[k] = np.ones(1, np.uint64)
+        trim()
 
     return source.mapInArrow(run, schema)
 
@@ -234,6 +239,36 @@ def whole(first: np.ndarray, n: int, k: int) -> np.ndarray:
     return ok
 
 
+def trim() -> None:
+    """Give a worker's unused memory back: workers live on from task to task, and what one step took is another's to use."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(f: Callable) -> Callable:
+    """`f`, for groups of Arrow tables, trimming memory after each; its signature, which tells Spark the form, stays."""
+    names = f.__code__.co_argcount
+    if names == 2:
+
+        def run(keys, table):
+            try:
+                return f(keys, table)
+            finally:
+                trim()
+    else:
+
+        def run(keys, left, right):
+            try:
+                return f(keys, left, right)
+            finally:
+                trim()
+
+    return run
+
+
 class Lookup:
     """Positions of 64-bit keys in a fixed set, by open addressing; all steps are vectorised."""
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import FOLD, NON_SPACE, Lookup, crc_fold, cut, pieces, running, shards, ship, spans, texts_of, word_hashes
+from tidemill.llm.common import FOLD, NON_SPACE, Lookup, crc_fold, cut, pieces, running, shards, ship, spans, texts_of, tidy, word_hashes
 
 MARK = 0xFF  # before the first byte and after the last
 END = np.uint64(0x5DEECE66D1234567)  # stands for the end among word hashes
@@ -170,7 +170,7 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         return pa.table([pa.array([one] * len(out), pa.int32()), *[pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary(), pa.binary()))]], names=["shard", "kind", "part", "ids", "counts"])
 
     by_shard = base.groupBy("__shard")
-    asks = cut(by_shard.applyInArrow(ask, "shard int, kind string, part int, ids binary, counts binary"))
+    asks = cut(by_shard.applyInArrow(tidy(ask), "shard int, kind string, part int, ids binary, counts binary"))
 
     def total(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids, counts = table.column("ids").to_pylist(), table.column("counts").to_pylist()
@@ -199,13 +199,13 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         order = np.argsort(values)
         return replies("g", table, values[order], scores.column("score").combine_chunks().to_numpy()[order], [])
 
-    words = cut(asks.where("kind = 'w'").groupBy("part").applyInArrow(word_counts, reply))
+    words = cut(asks.where("kind = 'w'").groupBy("part").applyInArrow(tidy(word_counts), reply))
     size = words.where("shard = -1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n_all, v_all = int(size.n or 0), int(size.v or 0)
     of_grams = asks.where("kind = 'g'")
-    counted = cut(of_grams.groupBy("part").applyInArrow(gram_counts, "gram long, n long"))
+    counted = cut(of_grams.groupBy("part").applyInArrow(tidy(gram_counts), "gram long, n long"))
     scores = gram_scores(counted, depth).withColumn("part", (F.col("gram") % parts).cast("int"))
-    values = cut(of_grams.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(gram_values, reply))
+    values = cut(of_grams.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(tidy(gram_values), reply))
 
     full = docs.select(own.alias("__shard"), F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in carry])
     schema = T.StructType([*[docs.schema[c] for c in carry], *[T.StructField(x, T.LongType() if x.startswith(("n_", "train")) else T.DoubleType()) for x in new]])
@@ -233,4 +233,4 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         return pa.table([*[table.column(c) for c in carry], pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(tree), n_all)), pa.array(plain), pa.array(tree), pa.array(-tree / math.log10(2) / symbols)], names=schema.names)
 
     model = words.where("shard >= 0").select("shard", "kind", "ids", "found").unionByName(values.select("shard", "kind", "ids", "found"))
-    return full.groupBy("__shard").cogroup(model.groupBy("shard")).applyInArrow(judge, schema)
+    return full.groupBy("__shard").cogroup(model.groupBy("shard")).applyInArrow(tidy(judge), schema)

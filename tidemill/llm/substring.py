@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import NON_SPACE, cut, gram_hashes, pieces, running, shards, ship, spans, texts_of, whole, word_hashes
+from tidemill.llm.common import NON_SPACE, cut, gram_hashes, pieces, running, shards, ship, spans, texts_of, tidy, whole, word_hashes
 
 _LAST = np.iinfo(np.int64).max
 
@@ -177,9 +177,9 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         return pa.table([pa.array([i for i, _ in out], pa.int32()), pa.array([keys[0].as_py()] * len(out), pa.int32()), pa.array([b for _, b in out], pa.binary())], names=names)
 
     by_shard = base.groupBy("__shard")
-    met = cut(by_shard.applyInArrow(ask_anchors, message).groupBy("part").applyInArrow(answer_anchors, message))
+    met = cut(by_shard.applyInArrow(tidy(ask_anchors), message).groupBy("part").applyInArrow(tidy(answer_anchors), message))
 
-    late = cut(by_shard.cogroup(met.groupBy("shard")).applyInArrow(ask_windows, message).groupBy("part").applyInArrow(answer_windows, message))
+    late = cut(by_shard.cogroup(met.groupBy("shard")).applyInArrow(tidy(ask_windows), message).groupBy("part").applyInArrow(tidy(answer_windows), message))
 
     new = {"n_words", "n_removed", "kept"}
     carry = [c for c in carry if c not in new]
@@ -219,5 +219,5 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         own = [table.column(c).take(back) for c in carry]
         return pa.table([*own, pa.array(np.diff(s.first)), pa.array(removed[s.first[1:]] - removed[s.first[:-1]]), pa.array(kept, pa.binary()).cast(pa.string())], names=schema.names)
 
-    return full.groupBy("__shard").cogroup(late.groupBy("shard")).applyInArrow(strip, schema)
+    return full.groupBy("__shard").cogroup(late.groupBy("shard")).applyInArrow(tidy(strip), schema)
 
