@@ -72,11 +72,12 @@ def links(prints: DataFrame, *, hot: int = 64) -> DataFrame:
     def flip(bit):
         return F.expr(f"shiftleft(1L, {bit})")
 
-    halves = prints.select("f", F.explode(F.array(F.struct(F.lit(0).alias("s"), F.expr(f"f & {LOW}L").alias("v")), F.struct(F.lit(1).alias("s"), F.expr(f"shiftrightunsigned(f, 32) & {LOW}L").alias("v")))).alias("h")).select("f", "h.s", "h.v")
-    crowded = cut(halves.groupBy("s", "v").count().where(F.col("count") > hot).select("s", "v"))
+    # a segment's value and which segment it is, as one number: joins on one long stay small
+    halves = prints.select("f", F.explode(F.array(F.expr(f"(f & {LOW}L) * 2"), F.expr(f"(shiftrightunsigned(f, 32) & {LOW}L) * 2 + 1"))).alias("h"))
+    crowded = cut(halves.groupBy("h").count().where(F.col("count") > hot).select("h"))
     bits = F.explode(F.sequence(F.lit(0), F.lit(31)))
-    key = F.expr("((v & ~shiftleft(1L, j)) * 64) + (s * 32) + j").alias("k")
-    calm = halves.join(crowded, ["s", "v"], "left_anti").withColumn("j", bits).select(key, "f")
+    key = F.expr("(shiftright(h, 1) & ~shiftleft(1L, j)) * 64 + (h & 1) * 32 + j").alias("k")
+    calm = halves.join(crowded, "h", "left_anti").withColumn("j", bits).select(key, "f")
     # a marker stands for all fingerprints of a crowded value
     marked = crowded.withColumn("j", bits).select(key)
     index = calm.join(marked, "k", "left_anti")
@@ -84,7 +85,7 @@ def links(prints: DataFrame, *, hot: int = 64) -> DataFrame:
     # equal segments meet in all 32 buckets: only the first counts
     apart = "if((k & 32) = 0, (a ^ b) & 4294967295L, shiftrightunsigned(a ^ b, 32)) <> 0"
     near = left.join(right, "k").where(f"a < b and bit_count(a ^ b) <= 2 and ((k & 31) = 0 or {apart})").select("a", "b")
-    hot_prints = halves.join(crowded, ["s", "v"], "left_semi").select("f").unionByName(calm.join(marked, "k", "left_semi").select("f")).distinct()
+    hot_prints = halves.join(crowded, "h", "left_semi").select("f").unionByName(calm.join(marked, "k", "left_semi").select("f")).distinct()
     within = F.explode(F.sequence(F.lit(-1), F.lit(63)))
     around = hot_prints.withColumn("j", within).select(F.when(F.col("j") < 0, F.col("f")).otherwise(F.col("f").bitwiseXOR(flip("greatest(j, 0)"))).alias("k"), "f")
     centre = around.groupBy("k").agg(F.min("f").alias("a"), F.count("*").alias("n")).where("n > 1")
