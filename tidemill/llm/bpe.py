@@ -52,7 +52,7 @@ def merged(ids: Sequence[int], rank: Callable[[int, int], int], made: Sequence[i
 class Recent(dict):
     """A memo of bounded size: two generations, of which the older goes when the younger is full."""
 
-    def __init__(self, make: Callable[[Any], Any], most: int = 300_000):
+    def __init__(self, make: Callable[[Any], Any], most: int = 100_000):
         super().__init__()
         self.make, self.most, self.old = make, most, {}
 

@@ -1,7 +1,8 @@
 """Byte-level BPE, encoding and decoding, with a two-tier lookup.
 
 Tier one: a minimal perfect hash over the vocabulary resolves every pre-token that is itself a token; all pre-tokens of a chunk
-are hashed and compared byte for byte at once. Tier two: the rest is merged with a heap over linked bytes, with a bounded memo.
+are hashed and compared byte for byte at once. Tier two: the rest is merged with a heap over linked bytes;
+a bounded table keeps what was merged.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.bpe import SHIFT, Recent, merged
+from tidemill.llm.bpe import SHIFT, merged
 from tidemill.llm.common import map_texts, mix, running, ship, word_hashes
 
 FIELDS = T.StructType().add("ids", T.ArrayType(T.IntegerType()), False).add("decoded", T.BinaryType(), False)
@@ -76,6 +77,64 @@ def _packed(padded: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[
     return wide[start] & _KEEP[np.minimum(length, 8)], wide[np.minimum(start + 8, len(wide) - 1)] & _KEEP[np.clip(length - 8, 0, 8)]
 
 
+class Merged:
+    """Ids of pre-tokens of at most 16 bytes that were merged before, by their hash and compared byte for byte. Bounded: it starts anew when full."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.most = most
+        self.clear(1 << 14)
+
+    def clear(self, slots: int) -> None:
+        self.mask = slots - 1
+        self.key, self.lo, self.hi = (np.zeros(slots, np.uint64) for _ in range(3))
+        self.size, self.begin = np.zeros(slots, np.uint8), np.zeros(slots, np.int64)  # bytes of the piece, 0 for a free slot; where its ids begin
+        self.many = np.zeros(slots, np.uint8)
+        self.pool, self.used, self.entries = np.zeros(4 * slots, np.int32), 0, 0
+
+    def find(self, key: np.ndarray, lo: np.ndarray, hi: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Slots, -1 for what isn't there."""
+        out, left = np.full(len(key), -1, np.int64), np.arange(len(key))
+        at = (key & np.uint64(self.mask)).astype(np.int64)
+        while len(left):
+            held = self.size[at]
+            same = (held == size[left]) & (self.key[at] == key[left]) & (self.lo[at] == lo[left]) & (self.hi[at] == hi[left])
+            out[left[same]] = at[same]
+            go = ~same & (held > 0)
+            left, at = left[go], (at[go] + 1) & self.mask
+        return out
+
+    def add(self, key: np.ndarray, lo: np.ndarray, hi: np.ndarray, size: np.ndarray, many: np.ndarray, ids: np.ndarray) -> None:
+        """Different pieces that aren't there yet; ids: of all of them, one after the other."""
+        if self.entries + len(key) > self.most:
+            self.clear(self.mask + 1)
+        while 2 * (self.entries + len(key)) > self.mask:
+            full = np.flatnonzero(self.size)
+            old = [x[full] for x in (self.key, self.lo, self.hi, self.size, self.many, self.begin)]
+            pool, used, entries = self.pool, self.used, self.entries
+            self.clear(2 * (self.mask + 1))
+            self.pool[:used] = pool[:used]
+            self.used, self.entries = used, entries
+            self._put(*old)
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + 4 * len(ids), np.int32)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self._put(key, lo, hi, size.astype(np.uint8), many.astype(np.uint8), self.used + running(many)[:-1])
+        self.used += len(ids)
+        self.entries += len(key)
+
+    def _put(self, key, lo, hi, size, many, begin) -> None:
+        left, at = np.arange(len(key)), (key & np.uint64(self.mask)).astype(np.int64)
+        while len(left):
+            free = np.flatnonzero(self.size[at] == 0)
+            _, first = np.unique(at[free], return_index=True)  # one for each slot
+            won = free[first]
+            i, j = left[won], at[won]
+            self.key[j], self.lo[j], self.hi[j], self.size[j], self.many[j], self.begin[j] = key[i], lo[i], hi[i], size[i], many[i], begin[i]
+            stay = np.ones(len(left), bool)
+            stay[won] = False
+            left, at = left[stay], (at[stay] + 1) & self.mask
+
+
 class Codec:
     """Vocabulary, its perfect hash and the tables for decoding. Built once on the driver."""
 
@@ -108,7 +167,8 @@ class Codec:
 
         self.find = regex.compile(self.pattern).findall
         get, single, made = self.pairs.get, self.single, range(len(self.size))
-        self.memo = Recent(lambda piece: merged([single[b] for b in piece], get, made))
+        self.merge = lambda piece: merged([single[b] for b in piece], get, made)
+        self.known = Merged()
         return self
 
     def split(self, raw: bytes) -> np.ndarray:
@@ -133,22 +193,47 @@ class Codec:
         length = end - start
         padded = np.frombuffer(raw + bytes(16), np.uint8)
         lo, hi = _packed(padded, start, length)
-        slot = self.hash.slots(word_hashes(data, start, end))
+        hashes = word_hashes(data, start, end)
+        slot = self.hash.slots(hashes)
         ok = (self.length[slot] == length) & (self.lo[slot] == lo) & (self.hi[slot] == hi)
         for i in np.flatnonzero(ok & (length > 16)).tolist():  # the rest of a long one
             ok[i] = self.ranks.get(raw[start[i] : end[i]]) is not None
-        miss = np.flatnonzero(~ok)
-        memo = self.memo
-        long = [memo[raw[a:b]] for a, b in zip(start[miss].tolist(), end[miss].tolist(), strict=True)]
         count = np.ones(len(end), np.int64)
-        count[miss] = np.fromiter(map(len, long), np.int64, len(long))
+        miss = np.flatnonzero(~ok)
+        short, long = miss[length[miss] <= 16], miss[length[miss] > 16]
+        # short ones: each distinct one is looked up, and merged, once
+        key, first, which = np.unique(hashes[short], return_index=True, return_inverse=True)
+        one = short[first]
+        odd = (lo[short] != lo[one][which]) | (hi[short] != hi[one][which]) | (length[short] != length[one][which])
+        if odd.any():  # two pieces with one hash
+            long, short, which = np.concatenate([long, short[odd]]), short[~odd], which[~odd]
+        known = self.known
+        fresh = np.flatnonzero(known.find(key, lo[one], hi[one], length[one]) < 0)
+        merge = self.merge
+        if len(fresh):
+            i = one[fresh]
+            lists = [merge(raw[a:b]) for a, b in zip(start[i].tolist(), end[i].tolist(), strict=True)]
+            many = np.fromiter(map(len, lists), np.int64, len(lists))
+            if known.entries + len(fresh) > known.most:  # it starts anew: what this chunk needs of the old goes in again
+                fresh = np.arange(len(key))
+                i = one
+                lists = [merge(raw[a:b]) for a, b in zip(start[i].tolist(), end[i].tolist(), strict=True)]
+                many = np.fromiter(map(len, lists), np.int64, len(lists))
+            known.add(key[fresh], lo[i], hi[i], length[i], many, np.fromiter(chain.from_iterable(lists), np.int32, int(many.sum())))
+        slots = known.find(key, lo[one], hi[one], length[one])[which]
+        count[short] = known.many[slots]
+        lists = [merge(raw[a:b]) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+        count[long] = np.fromiter(map(len, lists), np.int64, len(lists))
         place = running(count)
         ids = np.empty(place[-1], np.int32)
         ids[place[:-1][ok]] = self.id[slot[ok]]
-        if len(miss):
-            many = count[miss]
+        if len(short):
+            many = count[short]
             total = running(many)
-            ids[np.repeat(place[miss] - total[:-1], many) + np.arange(total[-1])] = np.fromiter(chain.from_iterable(long), np.int32, total[-1])
+            step = np.arange(total[-1])
+            ids[np.repeat(place[short] - total[:-1], many) + step] = known.pool[np.repeat(known.begin[slots] - total[:-1], many) + step]
+        for i, x in zip(long.tolist(), lists, strict=True):
+            ids[place[i] : place[i + 1]] = x
         return ids, place[texts]
 
     def decode(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,7 +267,7 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, *, text: str = "
 
         return work
 
-    return map_texts(docs, text, carry, FIELDS, make)
+    return map_texts(docs, text, carry, FIELDS, make, limit=1 << 19)
 
 
 def decode(df: DataFrame, vocabulary_path: str, *, ids: str = "ids", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
