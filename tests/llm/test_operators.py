@@ -64,6 +64,20 @@ def by_id(df):
     return {r.doc_id: r.text for r in df.collect()}
 
 
+def test_bytes_that_are_not_utf8(spark):
+    import public_tokenizers
+
+    from tidemill.llm import byte_bpe, decontaminate, language, quality, simhash, substring, token_counts
+
+    docs = spark.sql("select 1L as doc_id, 'en' as lang, cast(x'61ff62e282206363' as string) as text union all select 2L, 'en', 'fine words'")
+    items = spark.createDataFrame([(1, "fine words")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    assert {bytes(r.decoded).decode() for r in byte_bpe.encode(docs, path, public_tokenizers.PATTERN).collect()} == {"a\ufffdb\ufffd cc", "fine words"}
+    for out in (decontaminate.decontaminate(docs, items), quality.score(docs, quality.fit(docs, labels)), simhash.components(docs), language.identify(docs, language.fit(docs)), substring.dedup(docs), token_counts.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"))):
+        assert len(out.collect()) == 2
+
+
 # --- decontamination -------------------------------------------------------
 
 ITEMS = [(1, PASSAGE), (2, "passage3 passage4"), (10, text(13)), (11, "x1"), (3, None), (None, PASSAGE), (4, " . "), (1, "of una"), (5, " ".join(f"Passage{k}" for k in range(5, 25)))]

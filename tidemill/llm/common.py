@@ -103,7 +103,7 @@ def shards(df: DataFrame, bytes_each: int = 5 << 20) -> int:
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; null reads as the empty text."""
+    """(bytes, offsets) of a string column; null reads as the empty text, bytes that aren't UTF-8 as U+FFFD."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "") if column.null_count else column
@@ -113,6 +113,11 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         kind = np.int32
     else:
         column, kind = column.cast(pa.large_string()), np.int64
+    try:
+        column.validate(full=True)
+    except pa.ArrowInvalid:
+        raw = column.cast(pa.large_binary()).to_pylist()
+        column, kind = pa.array([x.decode("utf-8", "replace") for x in raw], pa.large_string()), np.int64
     _, offsets, data = column.buffers()
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
