@@ -79,17 +79,18 @@ def links(prints: DataFrame, *, hot: int = 64) -> DataFrame:
     key = F.expr("(shiftright(h, 1) & ~shiftleft(1L, j)) * 64 + (h & 1) * 32 + j").alias("k")
     calm = halves.join(crowded, "h", "left_anti").withColumn("j", bits).select(key, "f")
     # a marker stands for all fingerprints of a crowded value
-    marked = crowded.withColumn("j", bits).select(key)
+    # merge joins where a side is made by explode: its size is estimated before that, and a broadcast of it would have no bound
+    marked = crowded.withColumn("j", bits).select(key).hint("merge")
     index = calm.join(marked, "k", "left_anti")
     left, right = index.select("k", F.col("f").alias("a")), index.select("k", F.col("f").alias("b"))
     # equal segments meet in all 32 buckets: only the first counts
     apart = "if((k & 32) = 0, (a ^ b) & 4294967295L, shiftrightunsigned(a ^ b, 32)) <> 0"
-    near = left.join(right, "k").where(f"a < b and bit_count(a ^ b) <= 2 and ((k & 31) = 0 or {apart})").select("a", "b")
+    near = left.join(right.hint("merge"), "k").where(f"a < b and bit_count(a ^ b) <= 2 and ((k & 31) = 0 or {apart})").select("a", "b")
     hot_prints = halves.join(crowded, "h", "left_semi").select("f").unionByName(calm.join(marked, "k", "left_semi").select("f")).distinct()
     within = F.explode(F.sequence(F.lit(-1), F.lit(63)))
     around = hot_prints.withColumn("j", within).select(F.when(F.col("j") < 0, F.col("f")).otherwise(F.col("f").bitwiseXOR(flip("greatest(j, 0)"))).alias("k"), "f")
     centre = around.groupBy("k").agg(F.min("f").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = around.join(centre, "k").where("a < f").select("a", F.col("f").alias("b"))
+    stars = around.join(centre.hint("merge"), "k").where("a < f").select("a", F.col("f").alias("b"))
     return near.unionByName(stars).distinct()
 
 
