@@ -64,17 +64,18 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, release: bool = False, codec: str = "zstd") -> DataFrame:
     """Write `df` as a table in the shared folder and read it again: lineage ends here, and lost executors cost no recompute.
 
-    Shuffle files of the plan that ends here are given back once the JVM notices that nobody refers to them, so it is asked to look.
+    Shuffle files of the plan that ends here are given back once the JVM notices that nobody refers to them; `release`, for plans that
+    shuffle texts, asks it to look at once. Tables of a few long columns do without zstd ("snappy"), which takes native memory for each file.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemill/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     schema = df.schema
     del df
-    for _ in range(2):  # what reports on a plan lets go of it a little after its end
+    for _ in range(2 * release):  # what reports on a plan lets go of it a little after its end
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.2)

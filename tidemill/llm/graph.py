@@ -15,7 +15,7 @@ def smallest_reachable(links: DataFrame, rounds: int = 60) -> DataFrame:
     grows and no link comes to the driver; only a count and a checksum do, to see that nothing changed. A node of very many links has its
     minimum made by partial aggregation, and its joins may be split by the engine.
     """
-    links = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
+    links = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), codec="snappy")
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")), F.lit(0))).first())
@@ -31,7 +31,7 @@ def smallest_reachable(links: DataFrame, rounds: int = 60) -> DataFrame:
         # small star: every smaller neighbour of a node, and the node, go to the smallest
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.explode(F.array("a", "b")).alias("b"), F.col("m").alias("a")).where("a < b").distinct()
-        links = cut(small.select("a", "b"))
+        links = cut(small.select("a", "b"), codec="snappy")
         after = mark(links)
         if after == before:
             break

@@ -74,7 +74,7 @@ def links(prints: DataFrame, *, hot: int = 64) -> DataFrame:
 
     # a segment's value and which segment it is, as one number: joins on one long stay small
     halves = prints.select("f", F.explode(F.array(F.expr(f"(f & {LOW}L) * 2"), F.expr(f"(shiftrightunsigned(f, 32) & {LOW}L) * 2 + 1"))).alias("h"))
-    crowded = cut(halves.groupBy("h").count().where(F.col("count") > hot).select("h"))
+    crowded = cut(halves.groupBy("h").count().where(F.col("count") > hot).select("h"), codec="snappy")
     bits = F.explode(F.sequence(F.lit(0), F.lit(31)))
     key = F.expr("(shiftright(h, 1) & ~shiftleft(1L, j)) * 64 + (h & 1) * 32 + j").alias("k")
     calm = halves.join(crowded, "h", "left_anti").withColumn("j", bits).select(key, "f")
@@ -102,9 +102,9 @@ def components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", widt
     repeated rows and repeated doc_ids each keep their row; texts are read whole at any length; an empty table gives no rows; other columns
     don't matter.
     """
-    rows = cut(fingerprints(docs, text=text, carry=(key,), width=width).withColumnRenamed(key, "doc_id"))
-    prints = cut(rows.groupBy(F.col("simhash").alias("f")).agg(F.min("doc_id").alias("d")))
-    roots = cut(smallest_reachable(links(prints.select("f"), hot=hot)))
+    rows = cut(fingerprints(docs, text=text, carry=(key,), width=width).withColumnRenamed(key, "doc_id"), codec="snappy")
+    prints = cut(rows.groupBy(F.col("simhash").alias("f")).agg(F.min("doc_id").alias("d")), codec="snappy")
+    roots = cut(smallest_reachable(links(prints.select("f"), hot=hot)), release=True, codec="snappy")
     of = prints.join(roots, prints.f == roots.node, "left").select("f", "d", F.coalesce("root", "f").alias("root"))
     named = of.groupBy("root").agg(F.min("d").alias("component_id"))
     ids = of.join(named, "root").select("f", "component_id")

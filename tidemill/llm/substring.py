@@ -177,9 +177,9 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         return pa.table([pa.array([i for i, _ in out], pa.int32()), pa.array([keys[0].as_py()] * len(out), pa.int32()), pa.array([b for _, b in out], pa.binary())], names=names)
 
     by_shard = base.groupBy("__shard")
-    met = cut(by_shard.applyInArrow(tidy(ask_anchors), message).groupBy("part").applyInArrow(tidy(answer_anchors), message))
+    met = cut(by_shard.applyInArrow(tidy(ask_anchors), message).groupBy("part").applyInArrow(tidy(answer_anchors), message), release=True)
 
-    late = cut(by_shard.cogroup(met.groupBy("shard")).applyInArrow(tidy(ask_windows), message).groupBy("part").applyInArrow(tidy(answer_windows), message))
+    late = cut(by_shard.cogroup(met.groupBy("shard")).applyInArrow(tidy(ask_windows), message).groupBy("part").applyInArrow(tidy(answer_windows), message), release=True)
 
     new = {"n_words", "n_removed", "kept"}
     carry = [c for c in carry if c not in new]
