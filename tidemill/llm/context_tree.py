@@ -67,7 +67,8 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
         w = F.col("w") if d < depth else F.lit(1.0)
         at = here.join(at.withColumnRenamed("key", "up"), "up").select("key", (F.col("a") + F.col("b") * w * one).alias("a"), (F.col("b") * (1 - w)).alias("b"))
     p = F.col("a")
-    return split.join(at, "key").groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, p).otherwise(1 - p))).alias("score"))
+    # split is made by explode and larger than its estimate: never to be broadcast
+    return split.join(at.hint("merge"), "key").groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, p).otherwise(1 - p))).alias("score"))
 
 
 def _plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +171,7 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         return pa.table([pa.array([one] * len(out), pa.int32()), *[pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary(), pa.binary()))]], names=["shard", "kind", "part", "ids", "counts"])
 
     by_shard = base.groupBy("__shard")
-    asks = cut(by_shard.applyInArrow(tidy(ask), "shard int, kind string, part int, ids binary, counts binary"))
+    asks = cut(by_shard.applyInArrow(tidy(ask), "shard int, kind string, part int, ids binary, counts binary"), release=True)
 
     def total(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids, counts = table.column("ids").to_pylist(), table.column("counts").to_pylist()
@@ -205,7 +206,7 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
     of_grams = asks.where("kind = 'g'")
     counted = cut(of_grams.groupBy("part").applyInArrow(tidy(gram_counts), "gram long, n long"))
     scores = gram_scores(counted, depth).withColumn("part", (F.col("gram") % parts).cast("int"))
-    values = cut(of_grams.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(tidy(gram_values), reply))
+    values = cut(of_grams.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(tidy(gram_values), reply), release=True)
 
     full = docs.select(own.alias("__shard"), F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in carry])
     schema = T.StructType([*[docs.schema[c] for c in carry], *[T.StructField(x, T.LongType() if x.startswith(("n_", "train")) else T.DoubleType()) for x in new]])
