@@ -47,13 +47,17 @@ def test_empty_corpus(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
-def test_archives_query(spark):
+@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n.startswith("op") and n[2:3].isdigit()])
+def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
-    want = con.execute(entry.oracle_sql()["op10_warc"]).fetchall()
-    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in entry.queries()["op10_warc"](spark, SF).collect())
+    for t in ("pages", "documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    found = con.execute(entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, SF)
+    assert df.columns == [c[0] for c in found.description]
+    assert sorted(str(tuple(r)) for r in df.collect()) == sorted(str(tuple(r)) for r in found.fetchall())
 
 
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("op") and n[2:3].isdigit()])

@@ -115,7 +115,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring": op9_substring,
     "op10_warc": op10_warc,
 }
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWER)
+_RUNS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+#: Trained scores, fingerprints, tokenizers and approximate searches are beyond SQL; tests hold them against plain versions.
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+             i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+             iw AS (SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS win
+                    FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+             dw AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS win
+                    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+             h AS (SELECT doc_id, k, n, item FROM dw JOIN iw USING (n, win)),
+             p AS (SELECT doc_id, count(DISTINCT p) AS hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM h) GROUP BY doc_id),
+             t AS (SELECT doc_id, count(*) AS items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(p.hit, 0) AS n_hit, coalesce(t.items, 0) AS n_items, sha256(coalesce(t.ids, '')) AS items_sha256,
+               coalesce(p.hit, 0) > 0 AND 20 * coalesce(p.hit, 0) >= len(d.w) AS contaminated
+        FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op9_substring": f"""
+        WITH d AS (SELECT doc_id, {_RUNS} AS w FROM documents),
+             x AS (SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13)),
+             m AS (SELECT doc_id, k, min(doc_id) OVER (PARTITION BY s) AS first FROM x),
+             g AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(k, k + 13)) AS p FROM m WHERE first < doc_id)),
+             e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+             t AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM e WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = e.doc_id AND g.p = e.p) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(t.n, 0) AS n_removed, sha256(coalesce(t.kept, '')) AS kept_sha256
+        FROM d LEFT JOIN t USING (doc_id)""",
     "op10_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
              d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
