@@ -461,12 +461,11 @@ _GRID = f"""{TICKS}, k AS (SELECT min(ts) - min(ts) % 60000000 AS a, max(ts) AS
 
 
 def _grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly ticks of a fifth of the symbols (the strategy's universe) with as-of prices, low ones unknown, and a score."""
+    """Hourly ticks of every symbol with as-of prices, low ones unknown, and a score."""
     t = ticks(spark, sf).select("symbol", "ts", "seq", "price")
     bounds = t.agg(ta.floor_to(F.min("ts"), ta.MINUTE).alias("a"), F.max("ts").alias("z")).first()
-    universe = t.select("symbol").distinct().where(F.col("symbol").cast("long") % 5 == 0)
-    clock = universe.select("symbol", F.explode(F.sequence(F.lit(bounds.a), F.lit(bounds.z), F.lit(_STEP))).alias("ts"))
-    seen = at.asof(clock, t.join(universe, "symbol", "left_semi"), ["price"], seq="seq")
+    clock = t.select("symbol").distinct().select("symbol", F.explode(F.sequence(F.lit(bounds.a), F.lit(bounds.z), F.lit(_STEP))).alias("ts"))
+    seen = at.asof(clock, t, ["price"], seq="seq")
     return seen.select("symbol", "ts", F.when(F.col("price") > 20, F.col("price")).alias("price"), (F.col("price") - 100).alias("score"))
 
 
