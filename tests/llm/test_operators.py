@@ -359,6 +359,20 @@ def test_neighbours_edges(spark):
     assert nearest(df.where("vec_id % 100 <> 0")).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_neighbours_beside_many_repeats(spark, parts):
+    from tidemill.llm.forest import nearest
+
+    x = np.random.default_rng(1).normal(size=(40, 4))
+    near = (x[0] + 1e-3).tolist()
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(50, near)] * 2500 + [(51, [c + 1e-3 * n for c in near]) for n in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts)
+    want = exact([*range(40), 50, 51], np.array([*x, near, near]), 10)[0]
+    got = nearest(df).orderBy("rank").collect()
+    assert {r.query_id for r in got} == {0} and [r["rank"] for r in got] == list(range(1, 11))
+    assert [r.vec_id for r in got] == [i for i, _ in want] and [r.score for r in got] == pytest.approx([s for _, s in want])
+
+
 def test_neighbours_in_blocks(spark):
     from tidemill.llm.forest import nearest
 

@@ -109,7 +109,7 @@ def good(embedding: str) -> Column:
 
 
 class Best:
-    """The nearest k rows of each query so far, by distance and then by id."""
+    """The nearest k ids of each query so far, by distance and then by id; of rows that repeat an id the nearest counts."""
 
     def __init__(self, queries: np.ndarray, ids: np.ndarray, k: int):
         self.q, self.ids, self.k = queries, ids, k
@@ -124,8 +124,11 @@ class Best:
         rough[~candidate | (ids[:, None] == self.ids[None, :])] = np.inf
         slack = 1e-9 * (own.max(initial=0) + self.norm)
         limit = self.distance[:, -1] ** 2 + slack
-        if len(x) > self.k:
-            limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=0)[self.k - 1] + slack)
+        by_id = np.argsort(ids, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(ids[by_id]) != 0])
+        if len(first) > self.k:  # k different ids within it
+            each = rough if len(first) == len(ids) else np.minimum.reduceat(rough[by_id], first, axis=0)
+            limit = np.minimum(limit, np.partition(each, self.k - 1, axis=0)[self.k - 1] + slack)
         near = np.isfinite(rough) & (rough <= limit[None, :])
         r, c = np.nonzero(near)
         if not len(r):
@@ -135,8 +138,13 @@ class Best:
         q = np.concatenate([c, np.repeat(many, self.k)])
         d = np.concatenate([d, self.distance[many].ravel()])
         i = np.concatenate([ids[r], self.row[many].ravel()])
+        order = np.lexsort((d, i, q))
+        q, d, i = q[order], d[order], i[order]
+        once = np.r_[True, (np.diff(q) != 0) | (np.diff(i) != 0)]
+        q, d, i = q[once], d[once], i[once]
         order = np.lexsort((i, d, q))
         q, d, i = q[order], d[order], i[order]
+        self.distance[many], self.row[many] = np.inf, np.iinfo(np.int64).max
         place = np.arange(len(q)) - np.searchsorted(q, q)
         keep = place < self.k
         self.distance[q[keep], place[keep]] = d[keep]
@@ -146,10 +154,10 @@ class Best:
 def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding", every: int = 100, k: int = 10, trees: int = 64, leaf: int = 32, share: float = 0.9, sample: int = 8192, block: int = 4096, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` nearest rows found for each row whose key is divisible by `every`, by Euclidean distance.
 
-    `sample` bounds the rows that the trees are fitted on (those of the smallest hashes of their keys); all rows are indexed. `share` is the part of
+    `sample` bounds the rows that the trees are fitted on (those of the smallest hashes of their keys, one a key); all rows are indexed. `share` is the part of
     the sample, counted once a tree, that a query's leaves hold. Edge cases: null and zero vectors, vectors with a null or non-finite component, null
     keys and vectors of another length than most take no part; ties go to the smaller key; a query's own key is never its neighbour, so rows that
-    repeat a key are one query (with the smallest vector) and no candidates of it; up to 1024 rows are searched whole; an empty table gives no
+    repeat a key are one query (with the smallest vector), no candidates of it, and one neighbour of others (with the nearest vector), however often; up to 1024 rows are searched whole; an empty table gives no
     rows; other columns don't matter.
     """
     spark = rows.sparkSession
@@ -161,7 +169,9 @@ def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding
         return spark.createDataFrame([], empty)
     dim = common.d
     base = base.where(F.size("v") == dim)
-    fitted = np.array([r.v for r in base.orderBy(F.xxhash64("id"), "id", "v").limit(sample).collect()], float)  # at most `sample` rows
+    chosen = base.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+    fitted = base.join(F.broadcast(chosen), "id", "left_semi").groupBy("id").agg(F.min("v").alias("v")).orderBy(F.xxhash64("id"), "id")
+    fitted = np.array([r.v for r in fitted.collect()], float)  # at most `sample` rows
     forest = spark.sparkContext.broadcast(build(fitted, trees, leaf, seed))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,4 +224,4 @@ def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding
     if found is None:
         return spark.createDataFrame([], empty)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
