@@ -1,6 +1,7 @@
 """Queries and the pipeline over whole small tables."""
 
 import os
+import random
 
 import pytest
 
@@ -41,6 +42,29 @@ def test_stages_keep_the_columns(spark):
         assert [(f.name, f.dataType) for f in docs.schema] == [(f.name, f.dataType) for f in spark.read.parquet(f"{SF}/documents.parquet").schema]
 
 
+def test_near_dedup_by_similarity(spark):
+    from tidemill.llm.stages import near_dedup
+
+    rnd = random.Random(4)
+    texts = []
+    for n in (8, 30, 60, 200, 400):
+        for edits in (0, 1, 1, 2, 3, 8):
+            words = [f"w{n}x{k}" for k in range(n)] if not edits else texts[-1].split() if edits == 2 else texts[0 - edits % 2].split()
+            for _ in range(edits):
+                words[rnd.randrange(len(words))] = f"e{rnd.random()}"
+            texts.append("  ".join(words).upper() if edits == 3 else " ".join(words))
+    texts += ["", None, "one two", "ONE two", "one three", " ".join(f"w400x{k}" for k in range(100))]
+    grams = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in ((t or "").lower().split() for t in texts)]
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if 5 * len(grams[a] & grams[b]) >= 4 * len(grams[a] | grams[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dedup(spark, docs, SF).collect()) == sorted(set(root))
+
+
 def test_empty_corpus(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))

@@ -17,13 +17,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id.
+    """Of each group of near-duplicates (Jaccard similarity of five-word shingles 0.8 or more) the document with the smallest id.
 
     Documents without an id can't be told from one another, so they stay; rows that repeat an id stay or go together.
     """
-    from tidemill.llm.simhash import components
+    from tidemill.llm.similar import similar_groups
 
-    first = components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    rows = similar_groups(docs)
+    first = rows.groupBy("group").agg(F.min("doc_id").alias("__keep")).select("__keep").distinct()
     return docs.join(first, F.col("doc_id") == F.col("__keep"), "left").where("__keep is not null or doc_id is null").select(*docs.columns)
 
 
