@@ -45,3 +45,19 @@ def test_replay_has_every_symbol(spark, replayed):
     assert len(got) == len(curve) and all(a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-3) for a, b in zip(got, curve, strict=True))
     report = run("backtest_report")
     assert {r.symbol: r.qty for r in report} == held and all(r.final_cash == pytest.approx(cash, abs=1e-3) for r in report)
+
+
+def test_tick_parts_of_all_rows(spark):
+    from tidemill.plans.adapters import raw_feed
+
+    def plain(t):
+        s = str(t // 100 * 1000 + t % 100)
+        if not 7 <= len(s) <= 9:
+            return None, None, None, None
+        s = f"0{s}" if len(s) != 9 and s[0] == "9" else s
+        s = f"{s}0" if len(s) != 9 else s
+        return int(s[:-7]), int(s[-7:-5]), int(s[-5:-3]), int(s[-3:])
+
+    want = {int(r.SubSeq): plain(int(r.TickTime)) for r in raw_feed(spark, SF).select("SubSeq", "TickTime").collect()}
+    got = entry.queries()["tick_parts"](spark, SF).collect()
+    assert len(got) == len(want) and {r.event_id: (r.hh, r.mm, r.ss, r.mmm) for r in got} == want

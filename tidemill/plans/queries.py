@@ -550,7 +550,7 @@ def parse_datetimes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_RAW}, s AS (SELECT event_id, lpad(CAST(hh * 10000000 + mi * 100000 + ss * 1000 + cc AS VARCHAR), 9, '0') AS t FROM w WHERE hh >= 9) SELECT event_id, CAST(t[1:2] AS INTEGER) AS hh, CAST(t[3:4] AS INTEGER) AS mm, CAST(t[5:6] AS INTEGER) AS ss, CAST(t[7:9] AS INTEGER) AS mmm FROM s")
 def tick_parts(spark: SparkSession, sf: str) -> DataFrame:
-    raw = raw_feed(spark, sf).select(F.col("SubSeq").cast("long").alias("event_id"), F.col("TickTime").cast("long").alias("t")).where("t >= 9000000")
+    raw = raw_feed(spark, sf).select(F.col("SubSeq").cast("long").alias("event_id"), F.col("TickTime").cast("long").alias("t"))
     long = (F.call_function("div", F.col("t"), F.lit(100)) * 1000 + F.col("t") % 100).cast("string")
     return raw.select("event_id", ta.tick_parts(long).alias("p")).select("event_id", "p.*")
 
