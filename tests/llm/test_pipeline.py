@@ -65,6 +65,15 @@ def test_near_dedup_by_similarity(spark):
     assert sorted(r.doc_id for r in near_dedup(spark, docs, SF).collect()) == sorted(set(root))
 
 
+def test_near_dedup_keeps_one_row_of_a_group(spark):
+    from tidemill.llm.stages import near_dedup
+
+    same = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "A b c d e f"), (7, "a b c d e f"), (5, "other words"), (5, "third"), (None, "alone here"), (None, "alone here"), (None, None), (None, "")]
+    docs = spark.createDataFrame(same, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, (r.text or "").lower()) for r in near_dedup(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(7, "a b c d e f"), (5, "other words"), (5, "third"), (None, "alone here"), (None, "")], key=str)
+
+
 def test_empty_corpus(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))

@@ -17,15 +17,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (Jaccard similarity of five-word shingles 0.8 or more) the document with the smallest id.
+    """Of each group of near-duplicates (Jaccard similarity of five-word shingles 0.8 or more) one row: that of the smallest id, without an id only where none has one.
 
-    Documents without an id can't be told from one another, so they stay; rows that repeat an id stay or go together.
+    Of rows that repeat the id, the one of the smallest hash.
     """
+    from tidemill.llm.common import cut
     from tidemill.llm.similar import similar_groups
 
-    rows = similar_groups(docs)
-    first = rows.groupBy("group").agg(F.min("doc_id").alias("__keep")).select("__keep").distinct()
-    return docs.join(first, F.col("doc_id") == F.col("__keep"), "left").where("__keep is not null or doc_id is null").select(*docs.columns)
+    numbered = cut(docs.withColumn("__hash", F.xxhash64(*docs.columns)).withColumn("__row", F.monotonically_increasing_id()))
+    rows = similar_groups(numbered, carry=["doc_id", "__hash", "__row"])
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__hash", "__row")).alias("first")).select("first.__row")
+    return numbered.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
