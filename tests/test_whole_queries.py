@@ -61,3 +61,12 @@ def test_tick_parts_of_all_rows(spark):
     want = {int(r.SubSeq): plain(int(r.TickTime)) for r in raw_feed(spark, SF).select("SubSeq", "TickTime").collect()}
     got = entry.queries()["tick_parts"](spark, SF).collect()
     assert len(got) == len(want) and {r.event_id: (r.hh, r.mm, r.ss, r.mmm) for r in got} == want
+
+
+def test_fwd_return_keeps_bars_at_zero(spark, monkeypatch):
+    from tidemill.plans import queries
+
+    bars = spark.createDataFrame([("a", k, c) for k, c in enumerate([2.0, 0.0, 3.0, 0.0, 0.0])], "symbol string, ts long, close double")
+    monkeypatch.setattr(queries, "hour_bars", lambda spark, sf: bars)
+    got = {r.ts: str(r.label_fwd_ret_s1) for r in queries.fwd_return(spark, SF).collect()}
+    assert got == {0: "-1.0", 1: "inf", 2: "-1.0", 3: "nan", 4: "None"}

@@ -304,7 +304,7 @@ _LEAD = "lead(close, {n}) OVER (PARTITION BY symbol ORDER BY ts)"
 @query(f"WITH {HOUR_BARS} SELECT symbol, ts, {', '.join('CASE WHEN close <> 0 THEN round(' + _LEAD.format(n=n) + f' / close - 1, 6) END + 0.0 AS label_fwd_ret_s{n}' for n in (1, 5))} FROM b")
 def fwd_return(spark: SparkSession, sf: str) -> DataFrame:
     b = lb.forward_return(lb.forward_return(hour_bars(spark, sf), 1), 5)
-    return rounded(b.where("close <> 0").select("symbol", "ts", "label_fwd_ret_s1", "label_fwd_ret_s5"))
+    return rounded(b.select("symbol", "ts", "label_fwd_ret_s1", "label_fwd_ret_s5"))
 
 
 @query(f"WITH {HOUR_BARS} SELECT symbol, ts, CASE WHEN close > 0 AND {_LEAD.format(n=5)} > 0 THEN round(ln({_LEAD.format(n=5)}) - ln(close), 6) END + 0.0 AS label_fwd_logret_s5 FROM b")
