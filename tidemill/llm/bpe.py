@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from typing import Any
 
 
-SHIFT = 20  # of the left id in a pair's key
+SHIFT = 32  # of the left id in a pair's key
 
 
 def merged(ids: Sequence[int], rank: Callable[[int, int], int], made: Sequence[int]) -> list[int]:

@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.bpe import SHIFT, merged
-from tidemill.llm.common import map_texts, mix, running, ship, word_hashes
+from tidemill.llm.common import KEEP, map_texts, mix, running, ship, word_hashes
 
 FIELDS = T.StructType().add("ids", T.ArrayType(T.IntegerType()), False).add("decoded", T.BinaryType(), False)
-_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,7 +73,7 @@ class PerfectHash:
 def _packed(padded: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first 8 and the next 8 bytes of each piece; `padded` has 16 bytes to spare."""
     wide = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))
-    return wide[start] & _KEEP[np.minimum(length, 8)], wide[np.minimum(start + 8, len(wide) - 1)] & _KEEP[np.clip(length - 8, 0, 8)]
+    return wide[start] & KEEP[np.minimum(length, 8)], wide[np.minimum(start + 8, len(wide) - 1)] & KEEP[np.clip(length - 8, 0, 8)]
 
 
 class Merged:

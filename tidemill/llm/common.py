@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import gc
+import hashlib
+import re
 import tempfile
-import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -55,31 +56,79 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset one of our own will do on a single machine, and a cluster is an error."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^-\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemill-")
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
-def cut(df: DataFrame, release: bool = False, codec: str = "zstd") -> DataFrame:
+@contextmanager
+def _released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs within go when it ends: nothing reads them again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def new_path(spark: SparkSession, name: str = "") -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/tidemill/{name}{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write `df` as a table in the shared folder and read it again: lineage ends here, and lost executors cost no recompute.
 
-    Shuffle files of the plan that ends here are given back once the JVM notices that nobody refers to them; `release`, for plans that
-    shuffle texts, asks it to look at once. Tables of a few long columns do without zstd ("snappy"), which takes native memory for each file.
+    Shuffle files of the plan that ends here are given back. Tables of a few long columns do without zstd ("snappy"), which takes native
+    memory for each file. `drop` deletes what no result needs any more.
+    """
+    spark = df.sparkSession
+    path = new_path(spark)
+    with _released(spark):
+        df.write.option("compression", codec).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tidemill_path = path
+    return out
+
+
+def dealt(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """`df` as a table in the shared folder, in buckets of `column`: groups by it, and cogroups of it with others, move these rows no more.
+
+    The table is known to the session's catalogue only until its plan is made; `drop` deletes its files.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemill/{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    schema = df.schema
-    del df
-    for _ in range(2 * release):  # what reports on a plan lets go of it a little after its end
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
-    return spark.read.schema(schema).parquet(path)
+    path = new_path(spark)
+    name = f"tidemill_{uuid.uuid4().hex}"
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    buckets = min(most, max(buckets, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    with _released(spark):
+        df.repartition(buckets, column).write.format("parquet").bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
+    out = spark.table(name)
+    out._tidemill_path = path if out.columns else None
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that `cut` made and that no lazy result reads."""
+    for df in tables:
+        if path := df.__dict__.pop("_tidemill_path", None):
+            delete(df.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a path through Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def crc_fold(key: Column, folds: int) -> Column:
@@ -87,17 +136,18 @@ def crc_fold(key: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(folds)
 
 
+def stored_bytes(df: DataFrame) -> int | None:
+    """The plan's size estimate; None where there is none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return None if size >= 1 << 60 else size
+
+
 def shards(df: DataFrame, bytes_each: int = 5 << 20) -> int:
     """How many shards keep a shard near `bytes_each` of stored input; follows the plan's size estimate, and is at least the number of cores."""
     spark = df.sparkSession
     least = max(1, spark.sparkContext.defaultParallelism)
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # a session without a JVM handle has no estimate
-        size = 0
-    if size >= 1 << 60:  # no estimate either
-        return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(least, min(-(-size // bytes_each), 4_000_000))
+    size = stored_bytes(df)
+    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")) if size is None else -(-size // bytes_each))
 
 
 # --- scans -----------------------------------------------------------------
@@ -158,8 +208,6 @@ def map_texts(df: DataFrame, text: str, carry: Sequence[str], fields: T.StructTy
                 out = work(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], rows)
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *out], names=names)
         del work
-        for k, _ in enumerate(_POWER):
-            _POWER[k] = np.ones(1, np.uint64)
         trim()
 
     return source.mapInArrow(run, schema)
@@ -167,9 +215,11 @@ def map_texts(df: DataFrame, text: str, carry: Sequence[str], fields: T.StructTy
 
 # --- words -----------------------------------------------------------------
 
-_M = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWER = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: What is left of eight bytes when only the first k count.
+KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+#: Words of more bytes are hashed by BLAKE2 each.
+_LONG = 64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -182,20 +232,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64."""
-    if len(_POWER[0]) < n:
-        n = max(n, CHUNK_BYTES + (CHUNK_BYTES >> 1))
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            step = np.full(n, base, np.uint64)
-            step[0] = 1
-            _POWER[k] = np.cumprod(step, dtype=np.uint64)
-    return _POWER[0], _POWER[1]
-
-
 def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word starts, word ends (bytes) and, for each document and one more, the index of its first word."""
     n = len(data)
@@ -216,24 +252,38 @@ def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.
     return start, end, np.searchsorted(start, offsets)
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, the same in every chunk and process."""
-    n = len(data)
-    up, down = powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], dtype=np.uint64, out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, the same in every chunk and process. Lanes are independent: two of them make 128 bits.
+
+    Eight bytes at a time go through a bijection, so words of one length up to 8 bytes never collide; long words are hashed by BLAKE2, since
+    no short recurrence over their bytes is safe from texts with a structure of their own.
+    """
+    length = end - start
+    wide = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
+    first, step = (np.uint64(x) for x in ((0xD1342543DE82EF95, 0xA0761D6478BD642F), (0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))[lane])
+    h = mix((wide[start] & KEEP[np.minimum(length, 8)]) * first ^ length.astype(np.uint64) * step)
+    left = np.flatnonzero((length > 8) & (length <= _LONG))
+    at = 8
+    while len(left):
+        block = wide[start[left] + at] & KEEP[np.minimum(length[left] - at, 8)]
+        h[left] = mix((h[left] << np.uint64(23) | h[left] >> np.uint64(41)) * step + block * first)
+        at += 8
+        left = left[length[left] > at]
+    for i in np.flatnonzero(length > _LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=16).digest()[8 * lane : 8 * lane + 8], "little")
+    return h
 
 
-def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of `k` word hashes, regardless of documents; len(words) - k + 1 of them."""
-    n = len(words)
-    if n < k:
+def gram_hashes(words: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
+    """Hash of each run of `k` word hashes, regardless of documents; len(words) - k + 1 of them. Each place in a run has a random odd factor of its own."""
+    n = len(words) - k + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    up, down = powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(words * up[:n], dtype=np.uint64, out=total[1:])
-    return mix((total[k:] - total[:-k]) * down[: n - k + 1] + np.uint64(k))
+    factors = mix(np.arange(1, k + 1, dtype=np.uint64) * _ODD + np.uint64(lane)) | np.uint64(1)
+    total = words[:n] * factors[0]
+    for d in range(1, k):
+        total += words[d : d + n] * factors[d]
+    return mix(total + np.uint64(k))
 
 
 def whole(first: np.ndarray, n: int, k: int) -> np.ndarray:

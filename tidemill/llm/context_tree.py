@@ -5,23 +5,24 @@ before. In each context zeros and ones have a Krichevsky-Trofimov estimate P_e;
 depths. Given the counts of the training texts, the next bit's probability is w * KT + (1 - w) * (that of the longer context) with
 w = P_e / (2 P_w), from the deepest context up. A text begins after, and ends with, a byte that UTF-8 never has.
 
-Counting and mixing are sums and joins over the distinct (depth + 1)-grams, as DataFrames. Texts meet the model in shards of bounded
-size: a shard asks for the distinct grams and words that it has and gets its own slice back, so nothing that grows with the corpus is
-broadcast or collected, whatever the size of the model.
+Counting and mixing are sums and joins over the distinct (depth + 1)-grams, as DataFrames. Texts are dealt once, row by row, to shards of
+bounded size in a table in buckets. A shard tells its distinct grams and words, one row each, and gets their scores and counts back as rows, so nothing
+that grows with the corpus is broadcast or collected, a task holds one shard and its slice of the model, and rows sent are no more than
+what the shards have of distinct grams and words. Words are told apart by 128 bits of hash, grams are themselves.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import FOLD, NON_SPACE, Lookup, crc_fold, cut, pieces, running, shards, ship, spans, texts_of, tidy, word_hashes
+from tidemill.llm.common import FOLD, NON_SPACE, Lookup, crc_fold, cut, dealt, drop, pieces, running, shards, ship, spans, texts_of, tidy, word_hashes
 
 MARK = 0xFF  # before the first byte and after the last
 END = np.uint64(0x5DEECE66D1234567)  # stands for the end among word hashes
@@ -43,8 +44,11 @@ def log_kt(zeros: Column, ones: Column) -> Column:
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - math.log(math.pi) - log_gamma(a + b + 1)
 
 
-def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
-    """(gram, score): log10 of the probability of a gram's last byte after the others. grams: (gram, n), n its count in training, 0 if only scored."""
+def gram_scores(grams: DataFrame, depth: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(gram, score): log10 of the probability of a gram's last byte after the others; and the tables that this reads.
+
+    grams: (gram, n), n its count in training, 0 if only scored.
+    """
     i = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i")
     node = F.expr("shiftleft(1L, i) + shiftright(gram & 255, 8 - i)")
     split = grams.select("gram", "n", i).select("gram", "n", F.expr("gram - (gram & 255)").alias("high"), node.alias("node"), F.expr("shiftright(gram & 255, 7 - i) & 1").alias("bit"))
@@ -68,7 +72,7 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
         at = here.join(at.withColumnRenamed("key", "up"), "up").select("key", (F.col("a") + F.col("b") * w * one).alias("a"), (F.col("b") * (1 - w)).alias("b"))
     p = F.col("a")
     # split is made by explode and larger than its estimate: never to be broadcast
-    return split.join(at.hint("merge"), "key").groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, p).otherwise(1 - p))).alias("score"))
+    return split.join(at.hint("merge"), "key").groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, p).otherwise(1 - p))).alias("score")), [*trees.values()]
 
 
 def _plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,31 +107,49 @@ def _grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarra
     return grams, first
 
 
-def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words and one end of each text, and where each text's begin."""
+def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of each lower-cased word and of one end of each text, and where each text's begin."""
     low = FOLD[data]
     start, end, first = spans(low, offsets, NON_SPACE)
-    words = word_hashes(low, start, end)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     first = first + np.arange(len(first))
-    out = np.full(first[-1], END, np.uint64)
-    out[np.arange(len(words)) + row] = words
-    return out, first
-
-
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[at], np.add.reduceat(counts, at) if len(at) else counts[:0]
-
-
-def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and how often each is one to learn from."""
-    tagged = np.sort(keys[learn])
-    rest = np.unique(keys[~learn])
-    at = np.flatnonzero(np.concatenate([[True], tagged[1:] != tagged[:-1]])) if len(tagged) else np.zeros(0, np.int64)
-    return _summed(np.concatenate([tagged[at], rest]), np.concatenate([np.diff(np.append(at, len(tagged))), np.zeros(len(rest), np.int64)]))
+    out = []
+    for lane in range(2):
+        words = np.full(first[-1], END, np.uint64)
+        words[np.arange(len(start)) + row] = word_hashes(low, start, end, lane)
+        out.append(words)
+    return *out, first
+
+
+def _tally(high: np.ndarray, low: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of 128 bits, in order, and their sums."""
+    order = np.argsort(high, kind="stable")
+    a, b = high[order], low[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((low, high))
+        a, b = high[order], low[order]
+    at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+    return a[at], b[at], np.add.reduceat(counts[order], at) if len(at) else counts[:0]
+
+
+class Slice:
+    """What a shard has of the model: values by keys of 128 bits."""
+
+    def __init__(self, high: np.ndarray, low: np.ndarray, values: np.ndarray):
+        order = np.lexsort((low, high))
+        self.low, self.values = low[order], values[order]
+        keys, self.first, self.many = np.unique(high[order], return_index=True, return_counts=True)
+        self.at = Lookup(keys)
+
+    def find(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Values of keys, all of which are there."""
+        k = self.at.find(high)
+        at, past = self.first[k], self.first[k] + self.many[k]
+        for _ in range(int(self.many.max(initial=1)) - 1):
+            at += (self.low[at] != low) & (at + 1 < past)
+        if (k < 0).any() or (self.low[at] != low).any():
+            raise ValueError("a key that the model doesn't have")
+        return self.values[at]
 
 
 def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Sequence[str] = ("doc_id",), use: Column | None = None, depth: int = 5) -> DataFrame:
@@ -137,7 +159,7 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
     each text has one end besides. base_score: add-half unigram of these tokens; score: log10 of the tree's probability of the same tokens, as the
     bytes of the words joined by one space, and the end; bits_per_byte: that as a code length over the bytes and the end. Edge cases: a null text is the empty one, which has its end
     only; with nothing to learn from every bit has probability 1/2 and a token log10((0 + 0.5) / (0 + 0.5)) = 0; texts are read whole at any
-    length (a shard holds its longest one); repeated rows count and are scored each; an empty table gives no rows; columns that are not
+    length (a shard holds its longest one); repeated rows count and are scored each, whatever ids they repeat; an empty table gives no rows; columns that are not
     carried don't matter, and one named as a result gives way to it.
     """
     if not 1 <= depth <= 6:
@@ -145,93 +167,64 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
     ship(docs.sparkSession)
     parts = shards(docs, 12 << 20) | 1  # larger ones share more of their grams and words
     use = crc_fold(F.col("__key"), 5) != 1 if use is None else use
-    own = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.when(F.col(f"`{key}`").isNull(), F.col(f"`{text}`"))), F.lit(parts)).cast("int")
     new = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
     carry = [c for c in carry if c not in new]
-    base = docs.select(own.alias("__shard"), F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("__text")).select("__shard", "__text", F.coalesce(use, F.lit(False)).alias("__learn"))
+    read = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int").alias("__shard"), F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(carry) if c != text])
+    full = dealt(read.withColumn("__learn", F.coalesce(use, F.lit(False))).drop("__key"), "__shard", parts)
+
+    def keys_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
+        """(of words or not, two halves of each key, where each text's begin)"""
+        grams, first = _grams(data, offsets, depth)
+        yield False, grams, np.zeros(len(grams), np.uint64), first
+        yield True, *_tokens(data, offsets)
+
+    ask_schema = "shard int, word boolean, a long, b long, n long"
 
     def ask(keys: tuple, table: pa.Table) -> pa.Table:
-        learn = table.column("__learn").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+        learn = table.column("__learn").combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
         data, offs = texts_of(table.column("__text"))
+        found = {False: [], True: []}
+        for i, j in pieces(offs):
+            for word, high, low, first in keys_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]):
+                found[word].append(_tally(high, low, np.repeat(learn[i:j], np.diff(first))))
         out = []
-        for kind, read in (("g", lambda d, o: _grams(d, o, depth)), ("w", _tokens)):
-            found = []
-            for i, j in pieces(offs):
-                values, first = read(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                found.append(_counted(values, np.repeat(learn[i:j], np.diff(first))))
-            values, counts = _summed(np.concatenate([v for v, _ in found]), np.concatenate([c for _, c in found]))
-            part = (values % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            values, counts, edge = values[order], counts[order].astype(np.int64), np.searchsorted(part[order], np.arange(parts + 1)).tolist()
-            for p in range(parts):
-                a, b = edge[p], edge[p + 1]
-                if b > a:
-                    out.append((kind, p, values[a:b].tobytes(), counts[a:b].tobytes()))
-        one = keys[0].as_py()
-        return pa.table([pa.array([one] * len(out), pa.int32()), *[pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary(), pa.binary()))]], names=["shard", "kind", "part", "ids", "counts"])
-
-    by_shard = base.groupBy("__shard")
-    asks = cut(by_shard.applyInArrow(tidy(ask), "shard int, kind string, part int, ids binary, counts binary"), release=True)
-
-    def total(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids, counts = table.column("ids").to_pylist(), table.column("counts").to_pylist()
-        return _summed(np.concatenate([np.frombuffer(x, np.uint64) for x in ids]), np.concatenate([np.frombuffer(x, np.int64) for x in counts]))
-
-    def gram_counts(keys: tuple, table: pa.Table) -> pa.Table:
-        values, counts = total(table)
-        return pa.table([pa.array(values.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
-
-    reply = "shard int, kind string, ids binary, found binary, n long, v long"
-
-    def replies(kind: str, table: pa.Table, values: np.ndarray, found: np.ndarray, more: list) -> pa.Table:
-        rows = [(s, kind, ids, found[np.searchsorted(values, np.frombuffer(ids, np.uint64))].tobytes(), None, None) for s, ids in zip(table.column("shard").to_pylist(), table.column("ids").to_pylist(), strict=True)]
-        rows += more
-        kinds = (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["shard", "kind", "ids", "found", "n", "v"])
-
-    def word_counts(keys: tuple, table: pa.Table) -> pa.Table:
-        values, counts = total(table)
-        return replies("w", table, values, counts, [(-1, "w", None, None, int(counts.sum()), int((counts > 0).sum()))])
-
-    def gram_values(keys: tuple, table: pa.Table, scores: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return replies("g", table, np.zeros(0, np.uint64), np.zeros(0), [])
-        values = scores.column("gram").combine_chunks().to_numpy().astype(np.uint64)
-        order = np.argsort(values)
-        return replies("g", table, values[order], scores.column("score").combine_chunks().to_numpy()[order], [])
-
-    words = cut(asks.where("kind = 'w'").groupBy("part").applyInArrow(tidy(word_counts), reply))
-    size = words.where("shard = -1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+        for word, each in found.items():
+            high, low, n = _tally(*(np.concatenate([x[k] for x in each]) for k in range(3)))
+            out.append(pa.table([pa.array(np.full(len(n), keys[0].as_py(), np.int32)), pa.array(np.full(len(n), word)), pa.array(high.view(np.int64)), pa.array(low.view(np.int64)), pa.array(n)], names=["shard", "word", "a", "b", "n"]))
+        return pa.concat_tables(out)
+
+    asks = cut(full.select("__shard", "__text", "__learn").groupBy("__shard").applyInArrow(tidy(ask), ask_schema))
+    of_words, of_grams = asks.where("word"), asks.where("not word")
+    alike = Window.partitionBy("a", "b")
+    words = cut(of_words.select("shard", "a", "b", "n", F.sum("n").over(alike).alias("total"), F.row_number().over(alike.orderBy("shard")).alias("place")))
+    size = words.agg(F.sum("n").alias("n"), F.sum(F.when((F.col("place") == 1) & (F.col("total") > 0), 1)).alias("v")).first()
     n_all, v_all = int(size.n or 0), int(size.v or 0)
-    of_grams = asks.where("kind = 'g'")
-    counted = cut(of_grams.groupBy("part").applyInArrow(tidy(gram_counts), "gram long, n long"))
-    scores = gram_scores(counted, depth).withColumn("part", (F.col("gram") % parts).cast("int"))
-    values = cut(of_grams.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(tidy(gram_values), reply), release=True)
-
-    full = docs.select(own.alias("__shard"), F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in carry])
+    counted = cut(of_grams.groupBy(F.col("a").alias("gram")).agg(F.sum("n").alias("n")))
+    scores, read = gram_scores(counted, depth)
+    values = cut(of_grams.select("shard", F.col("a").alias("gram")).join(scores.hint("merge"), "gram").select("shard", "gram", "score"))
+    drop(asks, counted, *read)
     schema = T.StructType([*[docs.schema[c] for c in carry], *[T.StructField(x, T.LongType() if x.startswith(("n_", "train")) else T.DoubleType()) for x in new]])
 
-    def slice_of(table: pa.Table, kind: str, dtype) -> tuple[Lookup, np.ndarray]:
-        rows = [(i, f) for k, i, f in zip(*(table.column(c).to_pylist() for c in ("kind", "ids", "found")), strict=True) if k == kind]
-        ids = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(i, np.uint64) for i, _ in rows]])
-        return Lookup(ids), np.concatenate([np.zeros(0, dtype), *[np.frombuffer(f, dtype) for _, f in rows]])
-
     def judge(keys: tuple, table: pa.Table, model: pa.Table) -> pa.Table:
         data, offs = texts_of(table.column("__text"))
-        gram_at, gram_score = slice_of(model, "g", np.float64)
-        word_at, word_count = slice_of(model, "w", np.int64)
-        token_score = np.log10((word_count + 0.5) / (n_all + 0.5 * (v_all + 1)))
+        word = model.column("word").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+        high, low, value = (model.column(c).combine_chunks().to_numpy() for c in ("a", "b", "value"))
+        of = {w: Slice(high[word == w].view(np.uint64), low[word == w].view(np.uint64), value[word == w]) for w in (False, True)}
         out = []
         for i, j in pieces(offs):
-            d, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
-            tokens, first = _tokens(d, o)
-            at = word_at.find(tokens)
-            known = running(word_count[at] > 0)
-            grams, bounds = _grams(d, o, depth)
-            tree = np.add.reduceat(gram_score[gram_at.find(grams)], bounds[:-1])
-            out.append((np.diff(first), known[first[1:]] - known[first[:-1]], np.add.reduceat(token_score[at], first[:-1]), tree, np.diff(bounds)))
-        n_tokens, n_known, plain, tree, symbols = (np.concatenate([x[k] for x in out]) for k in range(5)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.ones(0))
-        return pa.table([*[table.column(c) for c in carry], pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(tree), n_all)), pa.array(plain), pa.array(tree), pa.array(-tree / math.log10(2) / symbols)], names=schema.names)
-
-    model = words.where("shard >= 0").select("shard", "kind", "ids", "found").unionByName(values.select("shard", "kind", "ids", "found"))
-    return full.groupBy("__shard").cogroup(model.groupBy("shard")).applyInArrow(tidy(judge), schema)
+            row = []
+            for w, a, b, first in keys_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]):
+                found = of[w].find(a, b)
+                if w:
+                    known = running(found > 0)
+                    row += [np.diff(first), known[first[1:]] - known[first[:-1]], np.add.reduceat(np.log10((found + 0.5) / (n_all + 0.5 * (v_all + 1))), first[:-1])]
+                else:
+                    row += [np.add.reduceat(found, first[:-1]), np.diff(first)]
+            out.append(row)
+        tree, symbols, n_tokens, n_known, plain = (np.concatenate([x[k] for x in out]) for k in range(5)) if out else (np.zeros(0), np.ones(0), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        own = [table.column("__text" if c == text else f"__c{k}") for k, c in enumerate(carry)]
+        return pa.table([*own, pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(tree), n_all)), pa.array(plain), pa.array(tree), pa.array(-tree / math.log10(2) / symbols)], names=schema.names)
+
+    model = words.select("shard", F.lit(True).alias("word"), "a", "b", F.col("total").cast("double").alias("value"))
+    model = model.unionByName(values.select("shard", F.lit(False).alias("word"), F.col("gram").alias("a"), F.lit(0).cast("long").alias("b"), F.col("score").alias("value")))
+    return full.drop("__learn").groupBy("__shard").cogroup(model.groupBy("shard")).applyInArrow(tidy(judge), schema)

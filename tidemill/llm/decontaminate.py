@@ -6,11 +6,14 @@ a group whole, so both sides keep the same k-gram of it; that pair is found by i
 both sides. Hence every shared window is found, and a pair that extends to fewer than `window` words is none.
 
 Documents are read once, where they lie, and never shuffled. The benchmark goes to the executors in blocks of at most
-`block_words` words, each a broadcast of known size; a larger benchmark takes several passes over the documents.
+`block_words` words, each a broadcast of known size; a larger benchmark takes several passes over the documents. An item of more words
+is cut on the executors into pieces that overlap by a window less one word, so no window is lost and no block is larger.
+Words are compared by 128 bits.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,16 +22,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import FOLD, LOWER_ALNUM, Lookup, cut, gram_hashes, map_texts, running, spans, whole, word_hashes
+from tidemill.llm.common import FOLD, LOWER_ALNUM, Lookup, cut, drop, gram_hashes, map_texts, running, ship, spans, whole, word_hashes
 
 SPAN = T.StructType().add("first", T.LongType()).add("past", T.LongType())
 FIELDS = T.StructType().add("n_words", T.LongType(), False).add("hit_spans", T.ArrayType(SPAN), False).add("item_ids", T.ArrayType(T.StringType()), False)
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of each lower-cased word, and where each text's begin."""
     data = FOLD[data]
     start, end, first = spans(data, offsets, LOWER_ALNUM)
-    return word_hashes(data, start, end), first
+    return word_hashes(data, start, end), word_hashes(data, start, end, 1), first
+
+
+def overlapping(text: str, words: int, window: int) -> Iterator[str]:
+    """Pieces of at most `words` words that hold all windows between them."""
+    at = [m.span() for m in _WORD.finditer(text)]
+    i = 0
+    while i + words < len(at):
+        yield text[at[i][0] : at[i + words - 1][1]]
+        i += words - window + 1
+    if i < len(at):
+        yield text[at[i][0] : at[-1][1]]
 
 
 def kept(grams: np.ndarray, width: int) -> np.ndarray:
@@ -60,7 +78,7 @@ class Index:
         number = {x: n for n, x in enumerate(self.ids)}
         texts = [t.encode() for _, t in items]
         data = np.frombuffer(b"".join(texts), np.uint8)
-        self.words, self.first = _words(data, running(np.array([len(t) for t in texts], np.int64)))
+        self.words, self.other, self.first = _words(data, running(np.array([len(t) for t in texts], np.int64)))
         length = np.diff(self.first)
         self.row = np.repeat(np.arange(len(items)), length)
         item = np.array([number[i] for i, _ in items], np.int64)
@@ -82,9 +100,14 @@ class Index:
         unique, counts = np.unique(keys, return_counts=True)
         return Lookup(unique), running(counts), values[order]
 
-    def hits(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def hits(self, words: np.ndarray, other: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(first word, word past the end, number of the item) of matches in a chunk of documents."""
-        n = len(words)
+        n, last = len(words), len(self.words) - 1
+
+        def equal(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            i, j = np.clip(i, 0, n - 1), np.clip(j, 0, last)
+            return (words[i] == self.words[j]) & (other[i] == self.other[j])
+
         for size, (lookup, begin, rows) in self.short.items():
             grams = gram_hashes(words, size)
             at = lookup.find(grams)
@@ -94,7 +117,7 @@ class Index:
                 row = rows[q]
                 same = np.ones(len(i), bool)
                 for d in range(size):
-                    same &= words[p[i] + d] == self.words[self.first[row] + d]
+                    same &= equal(p[i] + d, self.first[row] + d)
                 yield p[i[same]], p[i[same]] + size, self.item[row[same]]
         if not len(self.at) or n < self.window:
             return
@@ -111,17 +134,17 @@ class Index:
             lo, hi = self.first[row], self.first[row + 1]
             ok = (at + self.k <= past) & (q + self.k <= hi)
             for d in range(self.k):
-                ok &= words[np.minimum(at + d, n - 1)] == self.words[np.minimum(q + d, len(self.words) - 1)]
+                ok &= equal(at + d, q + d)
             left, right = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             go = ok.copy()
             for d in range(1, reach + 1):
                 go &= (at - d >= begin) & (q - d >= lo)
-                go &= words[np.maximum(at - d, 0)] == self.words[np.maximum(q - d, 0)]
+                go &= equal(at - d, q - d)
                 left += go
             go = ok.copy()
             for d in range(self.k, self.window):
                 go &= (at + d < past) & (q + d < hi)
-                go &= words[np.minimum(at + d, n - 1)] == self.words[np.minimum(q + d, len(self.words) - 1)]
+                go &= equal(at + d, q + d)
                 right += go
             ok &= left + self.k + right >= self.window
             yield (at - left)[ok], (at + self.k + right)[ok], self.item[row[ok]]
@@ -146,10 +169,10 @@ def _scan(docs: DataFrame, text: str, carry: Sequence[str], index, more: bool) -
         ix: Index = index.value
 
         def work(data: np.ndarray, offsets: np.ndarray, rows: pa.RecordBatch) -> list[pa.Array]:
-            words, first = _words(data, offsets)
+            words, other, first = _words(data, offsets)
             edge = np.zeros(len(words) + 1, np.int64)
             pairs = [np.zeros(0, np.int64)]
-            for a, b, item in ix.hits(words, first):
+            for a, b, item in ix.hits(words, other, first):
                 np.add.at(edge, a, 1)
                 np.add.at(edge, b, -1)
                 doc = np.searchsorted(first, a, "right") - 1
@@ -196,6 +219,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     if not 0 < k <= window:
         raise ValueError("0 < k <= window")
     rows = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").alias("t")).where("i is not null and t is not null")
+    ship(docs.sparkSession)
+    most = max(block_words // 4, 2 * window)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = b.column(1).cast(pa.binary() if pa.types.is_string(b.column(1).type) else pa.large_binary()).to_pylist()
+            out = [(i, x) for i, t in zip(b.column(0).to_pylist(), raw, strict=True) for x in overlapping(t.decode("utf-8", "replace"), most, window)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.string()) for k in range(2)], names=["i", "t"])
+
+    rows = rows.mapInArrow(split, "i string, t string")
 
     def blocks() -> Iterator[list[tuple[str, str]]]:
         block, size = [], 0
@@ -217,7 +250,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
             out = _scan(docs, text, carry, index, more)
         else:  # a further pass follows: the matches so far travel with the texts
             out = _scan(docs, text, [*dict.fromkeys([*carry, text, *(["__spans", "__items"] if more else [])])], index, more)
-            docs = cut(out.drop("n_words", "__spans", "__items").withColumnsRenamed({"hit_spans": "__spans", "item_ids": "__items"}))
+            before, docs = docs, cut(out.drop("n_words", "__spans", "__items").withColumnsRenamed({"hit_spans": "__spans", "item_ids": "__items"}))
+            index.destroy()
+            if more:
+                drop(before)
             more = True
             carry = [*dict.fromkeys([*carry, "__spans", "__items"])]
         block = last

@@ -64,7 +64,7 @@ def sketches(docs: DataFrame, *, text: str = "text", carry: Sequence[str] = ("do
 def _alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have that similarity or more. Sets are made anew from the texts: written for all rows they take more than the texts."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = cut(rows.select("node", "grams").join(named, "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams")), release=True, codec="snappy")
+    sets = cut(rows.select("node", "grams").join(named, "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams")), codec="snappy")
     left, right = sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
     both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where("100 * least(size(x), size(y)) >= {0} * greatest(size(x), size(y))".format(percent))
     shared = F.size(F.array_intersect("x", "y"))
@@ -89,5 +89,5 @@ def similar_groups(docs: DataFrame, *, text: str = "text", carry: Sequence[str]
     left, right = (open_.select("k", F.col("node").alias(n), F.col("root").alias(f"{n}_root")) for n in "ab")
     cross = left.join(right.hint("merge"), "k").where("a < b and a_root <> b_root").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
     more = cut(_alike(cut(cross, codec="snappy"), sketched, percent), codec="snappy")
-    roots = cut(smallest_reachable(links.unionByName(more)), release=True, codec="snappy")
+    roots = cut(smallest_reachable(links.unionByName(more)), codec="snappy")
     return rows.select(*carry, "node").join(roots, "node", "left").select(*carry, F.coalesce("root", "node").alias("group"))

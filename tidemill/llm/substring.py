@@ -4,11 +4,12 @@ Every document is a reference: its non-overlapping blocks of `block` words are i
 rolling runs of `block` words. A run of `window` = 2 * block - 1 words holds a whole block wherever it begins, so two documents
 that share a window share an anchor, and all windows around anchors, that is the maximal repeats they extend to, are compared whole.
 
-Documents are dealt to shards of bounded size. A shard sends its distinct anchors, not its texts, to the parts of the hash space (a few
-bytes each, once a shard however often they occur), and gets one bit back for each: met elsewhere or not. Then it sends the hash and the
+Documents are dealt once, row by row and so whatever their keys, to shards of bounded size, into a table in buckets that all later steps read
+without moving a text again. A shard sends its distinct anchors, not its texts, to the parts of the hash space (a few bytes each, once a shard
+however often they occur, and only to parts that it has some for), and gets one bit back for each: met elsewhere or not. Then it sends the hash and the
 smallest doc_id of each window around a met anchor, and learns which of them begin in a document with a smaller doc_id. What a passage
 costs is one entry a shard, so passages that a third of all documents have cost no more than others. Nothing is capped or sampled.
-Equality is that of 64-bit hashes of 13 words; anchors are compared by 32 bits beside their part and only choose what to compare.
+Windows are compared by 96 bits of hash; anchors by 32 bits beside their part, and these only choose what to compare.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import NON_SPACE, cut, gram_hashes, pieces, running, shards, ship, spans, texts_of, tidy, whole, word_hashes
+from tidemill.llm.common import NON_SPACE, cut, dealt, drop, gram_hashes, pieces, running, shards, ship, spans, texts_of, tidy, whole, word_hashes
 
 _LAST = np.iinfo(np.int64).max
 
@@ -35,18 +36,19 @@ class Shard:
         text = text.take(pa.array(self.order)).combine_chunks() if len(own) else text
         self.ids = own[self.order]
         self.data, self.offsets = texts_of(text)
-        hashes, firsts, starts, ends, base = [], [np.zeros(1, np.int64)], [], [], 0
+        hashes, others, firsts, starts, ends, base = [], [], [np.zeros(1, np.int64)], [], [], 0
         for i, j in pieces(self.offsets):
             at = self.offsets[i]
             part = self.data[at : self.offsets[j]]
             start, end, first = spans(part, self.offsets[i : j + 1] - at, NON_SPACE)
             hashes.append(word_hashes(part, start, end))
+            others.append(word_hashes(part, start, end, 1))
             starts.append(start + at)
             ends.append(end + at)
             firsts.append(first[1:] + base)
             base += len(start)
         none = np.zeros(0, np.int64)
-        self.words = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        self.words, self.others = (np.concatenate([np.zeros(0, np.uint64), *h]) for h in (hashes, others))
         self.start, self.end = np.concatenate([none, *starts]), np.concatenate([none, *ends])
         self.first = np.concatenate(firsts)
         self.doc = np.repeat(np.arange(len(own)), np.diff(self.first))
@@ -62,8 +64,41 @@ class Shard:
         key = ((grams % np.uint64(parts)) << np.uint64(32)) | (grams >> np.uint64(32))
         return np.where(ok, (key << np.uint64(1)) | (place % block == 0).astype(np.uint64), np.uint64((1 << 64) - 1))
 
-    def windows(self) -> np.ndarray:
-        return gram_hashes(self.words, self.window)
+    def windows(self, at: np.ndarray) -> Windows:
+        """Hashes of the windows that begin at these words."""
+        return Windows(gram_hashes(self.words, self.window)[at], gram_hashes(self.others, self.window, 1)[at].astype(np.uint32))
+
+
+class Windows:
+    """Hashes of 64 and 32 bits, grouped: `order` sorts them stably, `head` tells where in that order another one begins."""
+
+    def __init__(self, high: np.ndarray, low: np.ndarray):
+        self.high, self.low = high, low
+        self.order = np.argsort(high, kind="stable")
+        a, b = high[self.order], low[self.order]
+        if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+            self.order = np.lexsort((low, high))
+            a, b = high[self.order], low[self.order]
+        head = np.ones(len(a), bool)
+        head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        self.head = np.flatnonzero(head)
+        self.group = np.cumsum(head) - 1
+
+    def first(self) -> np.ndarray:
+        """Where each distinct one occurs first."""
+        return self.order[self.head]
+
+    def shared(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Which distinct ones are among these others, which are distinct themselves."""
+        order = np.lexsort((low, high))
+        high, low = high[order], low[order]
+        a, b = self.high[self.first()], self.low[self.first()]
+        at, past = np.searchsorted(high, a), np.searchsorted(high, a, "right")
+        out = np.zeros(len(a), bool)
+        for k in range(int((past - at).max(initial=0))):
+            there = at + k < past
+            out[there] |= low[at[there] + k] == b[there]
+        return out
 
 
 def _entries(tagged: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,10 +120,10 @@ def _by_part(part: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 
 def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Sequence[str] = ("doc_id",), window: int = 13) -> DataFrame:
-    """Each row of `docs` (its `carry` columns) with n_words, n_removed and `kept`, the words that stay joined by one space.
+    """Each row of `docs` (its `carry` columns) with n_words, n_removed, `kept`, the words that stay joined by one space, and `spans`.
 
     A word goes if a window of `window` words that covers it also begins in a document with a smaller doc_id; windows are judged on the
-    input. Edge cases: a null or blank text has no words; a document of fewer words than a window loses none; a null doc_id counts as larger than
+    input. `spans` are the maximal runs (first word, word past the end) of words that go: the repeats to which the hits extend. Edge cases: a null or blank text has no words; a document of fewer words than a window loses none; a null doc_id counts as larger than
     all others, and rows of one doc_id don't judge each other; texts are read whole at any length (a shard holds its longest document); an empty
     table gives no rows; columns that are not carried don't matter, and one named as a result gives way to it.
     """
@@ -96,8 +131,13 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         raise ValueError("window: an odd number from 3 on")
     block, parts = (window + 1) // 2, shards(docs)
     ship(docs.sparkSession)
-    shard: Column = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.when(F.col(f"`{key}`").isNull(), F.col(f"`{text}`"))), F.lit(parts)).cast("int")
-    base = docs.select(shard.alias("__shard"), F.col(f"`{key}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("__text"))
+    new = {"n_words", "n_removed", "kept", "spans"}
+    carry = [c for c in carry if c not in new]
+    # the texts move once; what is carried besides comes along
+    shard: Column = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+    own = docs.select(shard.alias("__shard"), F.col(f"`{key}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(carry) if c != text])
+    full = dealt(own, "__shard", parts // 4)
+    base = full.select("__shard", "__id", "__text")
     message = "shard int, part int, body binary"
     names = ["shard", "part", "body"]
 
@@ -107,14 +147,14 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
     def ask_anchors(keys: tuple, table: pa.Table) -> pa.Table:
         s = Shard(table.column("__id"), table.column("__text"), window)
         found, is_block, more = _entries(s.anchors(block, parts))
-        low = found.astype(np.uint32)
-        return rows(keys[0].as_py(), [(p, low[a:b].tobytes() + np.packbits(np.concatenate([is_block[a:b], more[a:b]])).tobytes()) for p, a, b in _by_part(found >> np.uint64(32))])
+        low = found.astype("<u4").view(np.uint8).reshape(-1, 4)  # in order, so planes of high bytes pack well
+        return rows(keys[0].as_py(), [(p, low[a:b].T.tobytes() + np.packbits(np.concatenate([is_block[a:b], more[a:b]])).tobytes()) for p, a, b in _by_part(found >> np.uint64(32))])
 
     def answer_anchors(keys: tuple, table: pa.Table) -> pa.Table:
         bodies, all_low, all_flags = table.column("body").to_pylist(), [], []
         for body in bodies:
             n = len(body) * 4 // 17  # 34 bits an entry, and up to 7 to fill the last byte
-            all_low.append(np.frombuffer(body, np.uint32, n))
+            all_low.append(np.ascontiguousarray(np.frombuffer(body, np.uint8, 4 * n).reshape(4, n).T).view("<u4").ravel())
             all_flags.append(np.unpackbits(np.frombuffer(body, np.uint8, -1, 4 * n))[: 2 * n].reshape(2, n))
         both = np.sort((np.concatenate(all_low).astype(np.uint64) << np.uint64(2)) | np.concatenate([(f[0] << 1) | f[1] for f in all_flags]).astype(np.uint64))
         low = both >> np.uint64(2)
@@ -151,40 +191,38 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         n = len(s.valid)
         near = s.valid & (count[window - block + 1 :][:n] > count[:n])
         at = np.flatnonzero(near)
-        grams, first = np.unique(s.windows()[at], return_index=True)  # documents are in the order of their ids
-        least = s.ids[s.doc[at[first]]]
-        part = grams % np.uint64(parts)
+        w = s.windows(at)
+        first = w.first()  # documents are in the order of their ids
+        high, low, least = w.high[first], w.low[first], s.ids[s.doc[at[first]]]
+        part = high % np.uint64(parts)
         order = np.argsort(part, kind="stable")
-        grams, least, part = grams[order], least[order], part[order]
+        high, low, least, part = high[order], low[order], least[order], part[order]
         least = least.astype(np.uint32) if len(least) and least.min() >= 0 and least.max() < 1 << 32 else least
-        return rows(table.column("__shard")[0].as_py(), [(p, bytes([least.itemsize]) + grams[a:b].tobytes() + least[a:b].tobytes()) for p, a, b in _by_part(part)])
+        return rows(table.column("__shard")[0].as_py(), [(p, bytes([least.itemsize]) + high[a:b].tobytes() + low[a:b].tobytes() + least[a:b].tobytes()) for p, a, b in _by_part(part)])
 
     def answer_windows(keys: tuple, table: pa.Table) -> pa.Table:
         ids, bodies, each = table.column("shard").to_pylist(), table.column("body").to_pylist(), []
         for body in bodies:  # a byte says how wide the ids are
-            n = (len(body) - 1) // (8 + body[0])
-            each.append((np.frombuffer(body, np.uint64, n, 1), np.frombuffer(body, np.uint32 if body[0] == 4 else np.int64, n, 1 + 8 * n).astype(np.int64)))
-        grams, least = np.concatenate([g for g, _ in each]), np.concatenate([d for _, d in each])
-        order = np.lexsort((least, grams))
-        grams, least = grams[order], least[order]
-        at = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-        grams, least = grams[at], least[at]
-        out = []
-        for i, (g, d) in enumerate(each):
-            late = g[least[np.searchsorted(grams, g)] < d]
-            if len(late):
-                out.append((ids[i], late.tobytes()))
+            n = (len(body) - 1) // (12 + body[0])
+            each.append((np.frombuffer(body, np.uint64, n, 1), np.frombuffer(body, np.uint32, n, 1 + 8 * n), np.frombuffer(body, np.uint32 if body[0] == 4 else np.int64, n, 1 + 12 * n).astype(np.int64)))
+        w = Windows(np.concatenate([h for h, _, _ in each]), np.concatenate([x for _, x, _ in each]))
+        least = np.concatenate([d for _, _, d in each])
+        late = np.empty(len(least), bool)
+        late[w.order] = np.minimum.reduceat(least[w.order], w.head)[w.group] < least[w.order]
+        out, at = [], 0
+        for i, (high, low, _) in zip(ids, each, strict=True):
+            bad = late[at : at + len(high)]
+            at += len(high)
+            if bad.any():
+                out.append((i, high[bad].tobytes() + low[bad].tobytes()))
         return pa.table([pa.array([i for i, _ in out], pa.int32()), pa.array([keys[0].as_py()] * len(out), pa.int32()), pa.array([b for _, b in out], pa.binary())], names=names)
 
     by_shard = base.groupBy("__shard")
-    met = cut(by_shard.applyInArrow(tidy(ask_anchors), message).groupBy("part").applyInArrow(tidy(answer_anchors), message), release=True)
-
-    late = cut(by_shard.cogroup(met.groupBy("shard")).applyInArrow(tidy(ask_windows), message).groupBy("part").applyInArrow(tidy(answer_windows), message), release=True)
-
-    new = {"n_words", "n_removed", "kept"}
-    carry = [c for c in carry if c not in new]
-    full = docs.select(shard.alias("__shard"), F.col(f"`{key}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in carry])
-    schema = T.StructType([*[docs.schema[c] for c in carry], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+    met = cut(by_shard.applyInArrow(tidy(ask_anchors), message).groupBy("part").applyInArrow(tidy(answer_anchors), message))
+    late = cut(by_shard.cogroup(met.groupBy("shard")).applyInArrow(tidy(ask_windows), message).groupBy("part").applyInArrow(tidy(answer_windows), message))
+    drop(met)
+    run = T.StructType().add("first", T.LongType()).add("past", T.LongType())
+    schema = T.StructType([*[docs.schema[c] for c in carry], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("spans", T.ArrayType(run))])
 
     def strip(keys: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         s = Shard(table.column("__id"), table.column("__text"), window)
@@ -192,13 +230,14 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         go = np.zeros(n, bool)
         at = np.flatnonzero(s.valid)
         if len(at):
-            grams = s.windows()[at]
-            distinct, first, which = np.unique(grams, return_index=True, return_inverse=True)
+            w = s.windows(at)
             own = s.ids[s.doc[at]]
-            bad = own[first][which] < own
+            bad = np.empty(len(at), bool)
+            late = own[w.first()][w.group] < own[w.order]
             if replies.num_rows:
-                away = np.sort(np.concatenate([np.frombuffer(b, np.uint64) for b in replies.column("body").to_pylist()]))
-                bad |= (away[np.minimum(np.searchsorted(away, distinct), len(away) - 1)] == distinct)[which]
+                away = [(np.frombuffer(b, np.uint64, len(b) // 12), np.frombuffer(b, np.uint32, len(b) // 12, len(b) // 12 * 8)) for b in replies.column("body").to_pylist()]
+                late |= w.shared(np.concatenate([h for h, _ in away]), np.concatenate([x for _, x in away]))[w.group]
+            bad[w.order] = late
             edge = np.zeros(n + 1, np.int64)
             np.add.at(edge, at[bad], 1)
             np.add.at(edge, at[bad] + window, -1)
@@ -215,9 +254,15 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
             ends = place[np.searchsorted(stay, s.first[i : j + 1])].tolist()
             raw = out.tobytes()
             kept += [raw[x : max(x, y - 1)] for x, y in zip(ends, ends[1:])]  # noqa: B905
+        lead, last = go.copy(), go.copy()
+        lead[1:] &= ~go[:-1] | (s.doc[1:] != s.doc[:-1])
+        last[:-1] &= ~go[1:] | (s.doc[1:] != s.doc[:-1])
+        lead, last = np.flatnonzero(lead), np.flatnonzero(last)
+        home = s.first[s.doc[lead]]
+        runs = pa.StructArray.from_arrays([pa.array(lead - home), pa.array(last + 1 - home)], ["first", "past"])
+        spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(lead, s.first).astype(np.int32)), runs)
         back = pa.array(s.order)
-        own = [table.column(c).take(back) for c in carry]
-        return pa.table([*own, pa.array(np.diff(s.first)), pa.array(removed[s.first[1:]] - removed[s.first[:-1]]), pa.array(kept, pa.binary()).cast(pa.string())], names=schema.names)
+        own = [table.column("__text" if c == text else f"__c{k}").take(back) for k, c in enumerate(carry)]
+        return pa.table([*own, pa.array(np.diff(s.first)), pa.array(removed[s.first[1:]] - removed[s.first[:-1]]), pa.array(kept, pa.binary()).cast(pa.string()), spans], names=schema.names)
 
     return full.groupBy("__shard").cogroup(late.groupBy("shard")).applyInArrow(tidy(strip), schema)
-
