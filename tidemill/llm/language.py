@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import crc_fold, map_texts, mix, running, ship
+from tidemill.llm.common import crc_fold, map_texts, mix, ship
 
 UNKNOWN = "und"
-_SPARE = 1 << 21
+#: Bytes of a long text, and distinct trigrams, that are looked at together.
+PIECE, BLOCK = 1 << 18, 4096
 
 
 def letter_table() -> np.ndarray:
@@ -42,65 +43,90 @@ def vectors(symbols: np.ndarray, turn: int, dim: int) -> np.ndarray:
 
 
 class Trigrams:
-    """Trigram counts of each text of a chunk, over lower-case letters with one space between words."""
+    """Trigram counts of texts, over lower-case letters with one space between words."""
 
     def __init__(self):
         self.table = letter_table()
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, index of the trigram, count) of each run, and the distinct trigrams as three symbols each."""
-        none = np.zeros(0, np.int64)
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(text, trigram, count), by trigram and then by text, of one step after another. A trigram is three symbols of 21 bits each.
+
+        A step is all of a chunk, or PIECE bytes of a longer text; the last two symbols go on to the next.
+        """
+        if len(offsets) > 2 or len(data) <= PIECE:
+            yield self._counts(data, offsets, (32, 32))[:3]
+            return
+        at, past = 0, (32, 32)
+        while at < len(data):
+            end = min(len(data), at + PIECE)
+            while end < len(data) and data[end] & 0xC0 == 0x80:  # a character stays whole
+                end += 1
+            *counts, past = self._counts(data[at:end], np.array([0, end - at]), past)
+            yield tuple(counts)
+            at = end
+
+    def _counts(self, data: np.ndarray, offsets: np.ndarray, past: tuple[int, int]) -> tuple:
         points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.int32)
         heads = np.flatnonzero((data & 0xC0) != 0x80)
         if len(heads) != len(points):
             raise ValueError("a text isn't UTF-8")
-        text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(heads, offsets)))
+        text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(np.searchsorted(heads, offsets)))
         letter = self.table[points]
-        is_letter = letter > 0
-        # a gap is kept as one space where a word follows or ends; texts are kept apart by their number
-        keep = is_letter.copy()
-        keep[1:] |= is_letter[:-1] & (text[1:] == text[:-1])
-        symbol, text = np.where(is_letter, letter, 32)[keep], text[keep]
-        if len(symbol) < 1:
-            return none, none, none, np.zeros((0, 3), np.int64)
-        alphabet, small = self._small(symbol)
-        a = len(alphabet)
+        # a gap is kept as one space where a word ends; texts are kept apart by their number
+        keep = letter > 0
+        after = keep[:-1] & (text[1:] == text[:-1])
+        if len(keep):
+            keep[0] |= past[1] != 32
+        keep[1:] |= after
+        symbol, text = np.where(letter[keep] > 0, letter[keep], 32).astype(np.int64), text[keep]
         fresh = np.ones(len(text), bool)
         fresh[1:] = text[1:] != text[:-1]
-        space = int(np.searchsorted(alphabet, 32))
-        one = np.where(fresh, space, np.concatenate([[space], small[:-1]]))  # the letter before; a text begins after a space
-        two = np.where(fresh | np.concatenate([[True], fresh[:-1]]), space, np.concatenate([[space, space], small[:-2]])[: len(small)])
-        gram = (two * a + one) * a + small
-        ok = ~((small == space) & (one == space))
-        room = a**3
-        if room * (len(offsets) + 1) >= 1 << 62:
-            raise ValueError("a chunk with too many letters")
-        both = np.sort(text[ok].astype(np.int64) * room + gram[ok])
-        new = np.ones(len(both), bool)
-        new[1:] = both[1:] != both[:-1]
+        one = np.where(fresh, past[1], np.concatenate([[past[1]], symbol[:-1]])[: len(symbol)])  # the symbol before; a text begins after spaces
+        two = np.where(fresh, past[0], np.concatenate([[past[0]], one[:-1]])[: len(symbol)])
+        past = (int(one[-1]), int(symbol[-1])) if len(symbol) else past
+        ok = (symbol != 32) | (one != 32)
+        gram, text = (two[ok] << 42) | (one[ok] << 21) | symbol[ok], text[ok]
+        order = np.lexsort((text, gram)) if len(offsets) > 2 else np.argsort(gram, kind="stable")
+        gram, text = gram[order], text[order]
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])
         at = np.flatnonzero(new)
-        count = np.diff(np.append(at, len(both)))
-        both = both[at]
-        doc, gram = both // room, both % room
-        distinct, which = np.unique(gram, return_inverse=True)
-        parts = np.stack([alphabet[distinct // (a * a)], alphabet[distinct // a % a], alphabet[distinct % a]], axis=1)
-        return doc, which, count, parts
-
-    @staticmethod
-    def _small(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        used = np.zeros(0x110000, bool)
-        used[symbol] = True
-        used[32] = True
-        alphabet = np.flatnonzero(used)
-        number = np.zeros(0x110000, np.int32)
-        number[alphabet] = np.arange(len(alphabet))
-        return alphabet, number[symbol].astype(np.int64)
-
-
-def bound(parts: np.ndarray, dim: int) -> np.ndarray:
+        return text[at], gram[at], np.diff(np.append(at, len(gram))), past
+
+
+def bound(grams: np.ndarray, dim: int) -> np.ndarray:
     """Vectors of +1 and -1 (float32) of trigrams."""
-    packed = vectors(parts[:, 0], 2, dim) ^ vectors(parts[:, 1], 1, dim) ^ vectors(parts[:, 2], 0, dim)
-    return 1 - 2 * np.unpackbits(packed, axis=1).astype(np.float32)
+    packed = np.zeros((len(grams), dim // 8), np.uint8)
+    for turn in range(3):
+        symbols, which = np.unique(grams >> (21 * turn) & 0x1FFFFF, return_inverse=True)
+        packed ^= vectors(symbols, turn, dim)[which]
+    out = np.unpackbits(packed, axis=1).astype(np.float32)
+    out *= -2
+    out += 1
+    return out
+
+
+def bundled(steps: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], own: np.ndarray, n: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the trigrams' vectors for each of `n` owners, and how many trigrams; own: the owner of each text. Vectors are made for BLOCK trigrams at a time."""
+    total, many = np.zeros((n, dim)), np.zeros(n)
+    for text, gram, count in steps:
+        many += np.bincount(own[text], count, n)
+        new = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]][: len(gram)])
+        edge = np.append(new, len(gram))
+        for i in range(0, len(new), BLOCK):
+            a, b = edge[i], edge[min(i + BLOCK, len(new))]
+            table = bound(gram[new[i : i + BLOCK]], dim)
+            row = np.repeat(np.arange(len(table)), np.diff(edge[i : i + BLOCK + 1]))
+            owner = own[text[a:b]]
+            order = np.argsort(owner, kind="stable")
+            owner, row, weight = owner[order], row[order], count[a:b][order].astype(np.float32)
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            for x, y in zip(first.tolist(), [*first[1:].tolist(), len(owner)], strict=True):
+                if y - x > len(table):  # many texts of one owner: each trigram once
+                    total[owner[x]] += np.bincount(row[x:y], weight[x:y], len(table)).astype(np.float32) @ table
+                else:
+                    total[owner[x]] += weight[x:y] @ table[row[x:y]]
+    return total, many
 
 
 @dataclass
@@ -124,14 +150,9 @@ def fit(docs: DataFrame, *, text: str = "text", key: str = "doc_id", lang: str =
 
         def work(data: np.ndarray, offsets: np.ndarray, batch: pa.RecordBatch) -> list[pa.Array]:
             names = batch.column(0).to_pylist()
-            doc, which, count, parts = grams(data, offsets)
             known = sorted(set(names))
-            number = np.array([known.index(x) for x in names], np.int64)
-            own = np.zeros((len(known), len(parts)))
-            np.add.at(own, (number[doc], which), count)
-            total = own @ bound(parts, dim).astype(float) if len(parts) else np.zeros((len(known), dim))
-            seen = dict.fromkeys(names)
-            firsts = {x: names.index(x) for x in seen}
+            total, _ = bundled(grams(data, offsets), np.array([known.index(x) for x in names], np.int64), len(known), dim)
+            firsts = {x: names.index(x) for x in known}
             out = [total[known.index(x)] if firsts[x] == i else None for i, x in enumerate(names)]
             return [pa.array(out, pa.list_(pa.float64()))]
 
@@ -171,20 +192,14 @@ def identify(docs: DataFrame, model: Prototypes, *, text: str = "text", carry: S
 
         def work(data: np.ndarray, offsets: np.ndarray, rows: pa.RecordBatch) -> list[pa.Array]:
             n = len(offsets) - 1
-            doc, which, count, parts = grams(data, offsets)
+            own, many = bundled(grams(data, offsets), np.arange(n), n, m.dim)
             names, scores = [UNKNOWN] * n, np.zeros(n)
-            if len(doc) and m.languages:
-                table = bound(parts, m.dim)
-                towards = table @ m.vectors.T.astype(np.float32)  # each trigram's part of a document's products with the prototypes
-                first = np.searchsorted(doc, np.arange(n + 1))
-                weight = count.astype(np.float32)
-                for d in np.flatnonzero(np.diff(first)).tolist():
-                    i, j = first[d], first[d + 1]
-                    own, w = which[i:j], weight[i:j]
-                    norm = float(np.linalg.norm(w @ table[own]))
-                    cosine = (w @ towards[own]) / norm if norm > 0 else np.zeros(len(m.languages))
-                    best = int(np.argmax(cosine))
-                    names[d], scores[d] = m.languages[best], min(1.0, max(0.0, float(cosine[best])))
+            if m.languages:
+                norm = np.linalg.norm(own, axis=1)
+                cosine = (own @ m.vectors.T) / np.where(norm > 0, norm, 1)[:, None]
+                best = np.argmax(cosine, axis=1)
+                names = [m.languages[k] if x else UNKNOWN for x, k in zip(many.tolist(), best.tolist(), strict=True)]
+                scores = np.where(many > 0, np.clip(cosine[np.arange(n), best], 0.0, 1.0), 0.0)
             return [pa.array(names, pa.string()), pa.array(scores)]
 
         return work
