@@ -2,17 +2,18 @@
 
 Each tree splits by random directions at the median of a bounded sample. All rows of the table are indexed: a row's leaf follows from its
 vector alone. A query walks all trees with one queue, ordered by the squared margins that it has crossed, until the leaves it has seen hold
-a given share of the sample. Rows in these leaves are candidates; they are ranked by their exact distances on the original vectors.
+a given share of the sample, each row counted once. Rows in these leaves are its candidates.
 
-Rows stay where they lie. Queries go to them in blocks, each a broadcast of a fixed number of queries with their leaves; each partition
-keeps the nearest few of each query, and only these are shuffled and merged. A leaf that holds very many equal vectors is spread over all partitions
-like any other, so it is no bottleneck.
+A leaf of a tree is a join key: rows and queries are sent to the cells of their leaves, a cell ranks its rows by exact distance for the queries
+that reach it and returns the nearest few, and these are merged. No row meets a query that doesn't reach one of its leaves. Equal vectors are one
+entry with the few smallest of their keys, which are all that can be among the nearest, and equal queries are searched once, so copies cost
+nothing; what else crowds a cell is dealt to several groups of bounded size.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,20 +21,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import cut, ship
+from tidemill.llm.common import cut, running, ship, tidy, trim
 
 
 @dataclass
 class Tree:
-    """Splits in heap order: node i has children 2i + 1 and 2i + 2. Leaves are numbered from the left; `weight` is each leaf's share of the sample."""
+    """Splits in heap order: node i has children 2i + 1 and 2i + 2. Leaves are numbered from the left; leaf n has the sample's rows[edge[n] : edge[n + 1]]."""
 
     normal: np.ndarray
     at: np.ndarray
-    weight: np.ndarray
+    rows: np.ndarray
+    edge: np.ndarray
 
     @property
     def depth(self) -> int:
-        return len(self.weight).bit_length() - 1
+        return len(self.at).bit_length()
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each row; all levels at once for a block of rows."""
@@ -41,7 +43,7 @@ class Tree:
         node = np.zeros(len(x), np.int64)
         for _ in range(self.depth):
             node = 2 * node + 1 + side[np.arange(len(x)), node]
-        return node - (len(self.weight) - 1)
+        return node - len(self.at)
 
 
 def _sums(values: np.ndarray, edge: np.ndarray) -> np.ndarray:
@@ -52,10 +54,10 @@ def _sums(values: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 
 def build(sample: np.ndarray, trees: int, leaf: int, seed: int) -> list[Tree]:
-    """Trees whose leaves hold about `leaf` rows of the sample; up to 1024 rows are one leaf."""
+    """Trees whose leaves hold about `leaf` rows of the sample."""
     random = np.random.default_rng(seed)
     n, dim = sample.shape
-    depth = max(0, int(np.ceil(np.log2(n / leaf)))) if n > 1024 else 0
+    depth = max(0, int(np.ceil(np.log2(max(1, n) / leaf))))
     out = []
     for _ in range(trees):
         count = (1 << depth) - 1
@@ -78,27 +80,30 @@ def build(sample: np.ndarray, trees: int, leaf: int, seed: int) -> list[Tree]:
             full = np.diff(edge) > 0
             at[base : base + many][full] = projection[order[middle[full]]]
             node = 2 * node + 1 + (projection > at[node])
-        out.append(Tree(normal, at, np.bincount(node - count, minlength=1 << depth) / max(1, n)))
+        place = node - count
+        out.append(Tree(normal, at, np.argsort(place, kind="stable"), running(np.bincount(place, minlength=1 << depth))))
     return out
 
 
-def probe(forest: list[Tree], query: np.ndarray, share: float) -> list[tuple[int, int]]:
-    """(tree, leaf) in the order of one queue over all trees, until the leaves' shares of the sample add up to `share`."""
+def probe(forest: list[Tree], query: np.ndarray, enough: int) -> list[int]:
+    """Cells in the order of one queue over all trees, until `enough` rows of the sample have been seen."""
     heap = [(0.0, t, 0) for t in range(len(forest))]
-    products = [tree.normal @ query - tree.at for tree in forest]
-    out, have = [], 0.0
-    while heap and have < share:
+    margins = [(tree.normal @ query - tree.at).tolist() for tree in forest]
+    out, seen = [], set()
+    while heap and len(seen) < enough:
         key, t, node = heapq.heappop(heap)
-        tree, margins = forest[t], products[t]
-        inner = len(margins)
+        own = margins[t]
+        inner = len(own)
         while node < inner:
-            m = float(margins[node])
+            m = own[node]
             right = 2 * node + 2
             near, far = (right, right - 1) if m > 0 else (right - 1, right)
             heapq.heappush(heap, (key + m * m, t, far))
             node = near
-        out.append((t, node - inner))
-        have += float(tree.weight[node - inner])
+        leaf = node - inner
+        out.append(t << 32 | leaf)
+        tree = forest[t]
+        seen.update(tree.rows[tree.edge[leaf] : tree.edge[leaf + 1]].tolist())
     return out
 
 
@@ -108,120 +113,108 @@ def good(embedding: str) -> Column:
     return F.coalesce((F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
-class Best:
-    """The nearest k ids of each query so far, by distance and then by id; of rows that repeat an id the nearest counts."""
-
-    def __init__(self, queries: np.ndarray, ids: np.ndarray, k: int):
-        self.q, self.ids, self.k = queries, ids, k
-        self.norm = (queries**2).sum(axis=1)
-        self.distance = np.full((len(queries), k), np.inf)
-        self.row = np.full((len(queries), k), np.iinfo(np.int64).max)
-
-    def add(self, x: np.ndarray, ids: np.ndarray, candidate: np.ndarray) -> None:
-        """candidate: rows x queries. Squares by one matrix product choose what is measured exactly; a margin covers its rounding."""
-        own = (x**2).sum(axis=1)
-        rough = own[:, None] + self.norm[None, :] - 2 * (x @ self.q.T)
-        rough[~candidate | (ids[:, None] == self.ids[None, :])] = np.inf
-        slack = 1e-9 * (own.max(initial=0) + self.norm)
-        limit = self.distance[:, -1] ** 2 + slack
-        by_id = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(ids[by_id]) != 0])
-        if len(first) > self.k:  # k different ids within it
-            each = rough if len(first) == len(ids) else np.minimum.reduceat(rough[by_id], first, axis=0)
-            limit = np.minimum(limit, np.partition(each, self.k - 1, axis=0)[self.k - 1] + slack)
-        near = np.isfinite(rough) & (rough <= limit[None, :])
-        r, c = np.nonzero(near)
-        if not len(r):
-            return
-        d = np.sqrt(((x[r] - self.q[c]) ** 2).sum(axis=1))
-        many = np.unique(c)
-        q = np.concatenate([c, np.repeat(many, self.k)])
-        d = np.concatenate([d, self.distance[many].ravel()])
-        i = np.concatenate([ids[r], self.row[many].ravel()])
-        order = np.lexsort((d, i, q))
-        q, d, i = q[order], d[order], i[order]
-        once = np.r_[True, (np.diff(q) != 0) | (np.diff(i) != 0)]
-        q, d, i = q[once], d[once], i[once]
-        order = np.lexsort((i, d, q))
-        q, d, i = q[order], d[order], i[order]
-        self.distance[many], self.row[many] = np.inf, np.iinfo(np.int64).max
-        place = np.arange(len(q)) - np.searchsorted(q, q)
-        keep = place < self.k
-        self.distance[q[keep], place[keep]] = d[keep]
-        self.row[q[keep], place[keep]] = i[keep]
-
-
-def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding", every: int = 100, k: int = 10, trees: int = 64, leaf: int = 32, share: float = 0.9, sample: int = 8192, block: int = 4096, seed: int = 7) -> DataFrame:
+def best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, distance) of the nearest k ids of each query, by distance and then by id; of rows that repeat an id the nearest counts.
+
+    Squares by one matrix product choose what is measured exactly; a margin covers its rounding.
+    """
+    own, norm = (rows**2).sum(axis=1), (queries**2).sum(axis=1)
+    rough = own[:, None] + norm[None, :] - 2 * (rows @ queries.T)
+    by_id = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(ids[by_id]) != 0])
+    limit = np.full(len(queries), np.inf)
+    if len(first) > k:  # k different ids within it
+        each = rough if len(first) == len(ids) else np.minimum.reduceat(rough[by_id], first, axis=0)
+        limit = np.partition(each, k - 1, axis=0)[k - 1] + 1e-9 * (own.max() + norm)
+    r, c = np.nonzero(rough <= limit[None, :])
+    d = np.sqrt(((rows[r] - queries[c]) ** 2).sum(axis=1))
+    order = np.lexsort((d, ids[r], c))
+    q, i, d = c[order], ids[r][order], d[order]
+    once = np.r_[True, (np.diff(q) != 0) | (np.diff(i) != 0)]
+    q, i, d = q[once], i[once], d[once]
+    order = np.lexsort((i, d, q))
+    q, i, d = q[order], i[order], d[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], i[keep], d[keep]
+
+
+def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding", every: int = 100, k: int = 10, trees: int = 24, leaf: int = 4, share: float = 0.25, least: int = 1000, sample: int = 8192, group: int = 1 << 16, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` nearest rows found for each row whose key is divisible by `every`, by Euclidean distance.
 
-    `sample` bounds the rows that the trees are fitted on (those of the smallest hashes of their keys, one a key); all rows are indexed. `share` is the part of
-    the sample, counted once a tree, that a query's leaves hold. Edge cases: null and zero vectors, vectors with a null or non-finite component, null
-    keys and vectors of another length than most take no part; ties go to the smaller key; a query's own key is never its neighbour, so rows that
-    repeat a key are one query (with the smallest vector), no candidates of it, and one neighbour of others (with the nearest vector), however often; up to 1024 rows are searched whole; an empty table gives no
-    rows; other columns don't matter.
+    `sample` bounds the vectors that the trees are fitted on (those of the smallest hashes); all rows are indexed. A query's leaves hold `share` of
+    the sample's rows, and `least` of them where it has so many. `group` bounds the index entries of a group. More rows than the sample
+    can tell apart want a larger one: a leaf holds `leaf` / `sample` of the table. Edge cases: null and zero vectors, vectors with a null or
+    non-finite component, null keys and vectors of another length than most take no part; ties go to the smaller key; a query's own key is never
+    its neighbour, so rows that repeat a key are one query (with the smallest vector), no candidates of it, and one neighbour of others (with the
+    nearest vector), however often; a query of fewer candidates than `k` gets them all; an empty table gives no rows; other columns don't matter.
     """
     spark = rows.sparkSession
     ship(spark)
-    base = rows.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("v")).where(good("v")).where("id is not null")
+    base = rows.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{embedding}`").alias("v")).where(good("v")).where("id is not null")
     empty = "query_id long, rank int, vec_id long, score double"
-    common = base.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if common is None:
+    sizes = base.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    if sizes is None:
         return spark.createDataFrame([], empty)
-    dim = common.d
+    dim, total = sizes.d, sizes["count"]
     base = base.where(F.size("v") == dim)
-    chosen = base.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    fitted = base.join(F.broadcast(chosen), "id", "left_semi").groupBy("id").agg(F.min("v").alias("v")).orderBy(F.xxhash64("id"), "id")
-    fitted = np.array([r.v for r in fitted.collect()], float)  # at most `sample` rows
+    # of equal vectors only the smallest keys can be among the nearest: k of others, k that a nearer vector has as well, and the query's own
+    copies = Window.partitionBy("v").orderBy("id")
+    entries = cut(base.groupBy("id", "v").count().withColumn("n", F.row_number().over(copies)).where(F.col("n") <= 2 * k + 1).select("id", "v", "n"))
+    own = base.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
+    queries = cut(own.join(own.groupBy("v").agg(F.min("id").alias("q")), "v").select("id", "q", "v"))
+    fitted = entries.where("n = 1").select("v", F.xxhash64("v").alias("h")).where(F.pmod("h", F.lit(1 << 32)) <= int((1 << 32) * min(1.0, 2 * sample / total)))
+    fitted = np.array([r.v for r in fitted.orderBy("h", "v").limit(sample).collect()], float)  # bounded by `sample`
+    enough = max(int(np.ceil(share * len(fitted))), least)
     forest = spark.sparkContext.broadcast(build(fitted, trees, leaf, seed))
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = b.column(1).flatten().to_numpy().reshape(-1, dim)
-            seen = [[t << 32 | n for t, n in probe(forest.value, v, share)] for v in x]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(seen, pa.list_(pa.int64()))], names=["id", "v", "seen"])
+    def vectors(column: pa.Array) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
 
-    queries = cut(base.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).mapInArrow(walk, "id long, v array<double>, seen array<long>"))
-
-    def search(shared) -> DataFrame:
+    def cells(take) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, vectors, probes = shared.value
-            tree = forest.value
-            best = Best(vectors, ids, k)
             for whole in batches:
                 for at in range(0, whole.num_rows, 1024):
                     b = whole.slice(at, 1024)
-                    x = b.column(1).flatten().to_numpy().reshape(-1, dim)
-                    hit = np.zeros((len(x), probes[0].shape[1]), np.uint8)
-                    for t, has in zip(tree, probes, strict=True):
-                        hit |= has[t.leaves(x)]
-                    candidate = np.unpackbits(hit, axis=1, count=len(ids)).astype(bool)
-                    best.add(x, b.column(0).to_numpy(), candidate)
-            q, p = np.nonzero(np.isfinite(best.distance))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(best.row[q, p]), pa.array(best.distance[q, p])], names=["query_id", "vec_id", "score"])
-
-        return base.mapInArrow(run, "query_id long, vec_id long, score double")
-
-    def blocks() -> Iterator[list]:
-        own: list = []
-        for r in queries.toLocalIterator():
-            own.append(r)
-            if len(own) == block:
-                yield own
-                own = []
-        if own:
-            yield own
-
-    found: DataFrame | None = None
-    for own in blocks():
-        ids = np.array([r.id for r in own], np.int64)
-        has = [np.zeros((len(t.weight), len(own)), bool) for t in forest.value]
-        for n, r in enumerate(own):
-            for s in r.seen:
-                has[s >> 32][s & 0xFFFFFFFF, n] = True
-        part = search(spark.sparkContext.broadcast((ids, np.array([r.v for r in own], float), [np.packbits(h, axis=1) for h in has])))
-        part = part if len(own) < block else cut(part)  # of many blocks each is done before the next
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], empty)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                    row, cell = take(vectors(b.column(1)))
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), *(c.take(pa.array(row)) for c in b.columns)], names=["cell", "id", "v"])
+            trim()
+
+        return run
+
+    def leaves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.tile(np.arange(len(x)), trees), np.concatenate([t << 32 | tree.leaves(x) for t, tree in enumerate(forest.value)])
+
+    def probes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        seen = [probe(forest.value, v, enough) for v in x]
+        return np.repeat(np.arange(len(x)), [len(s) for s in seen]), np.array([c for s in seen for c in s], np.int64)
+
+    # a cell's rows are dealt to as many groups as keep each within its bound, and small cells share a group
+    salts = max(1, -(-total // max(1, len(fitted) // leaf) // group))
+    groups = max(spark.sparkContext.defaultParallelism, -(-trees * total // group))
+    schema = f"cell long, id long, v {entries.schema['v'].dataType.simpleString()}"
+    home = lambda salt: F.pmod(F.xxhash64("cell", salt), F.lit(groups)).cast("int").alias("g")
+    index = entries.select("id", "v").mapInArrow(cells(leaves), schema).select("*", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"))
+    asked = queries.where("id = q").select("id", "v").mapInArrow(cells(probes), schema).select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+
+    def rank(keys: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if left.num_rows and right.num_rows:
+            (rc, ri, rx), (qc, qi, qx) = ((t.column("cell").to_numpy() * salts + t.column("salt").to_numpy(), t.column("id").to_numpy(), vectors(t.column("v").combine_chunks())) for t in (left, right))
+            ro, qo = np.argsort(rc, kind="stable"), np.argsort(qc, kind="stable")
+            both = np.intersect1d(rc, qc)
+            spans = (np.searchsorted(c[o], both, side).tolist() for c, o in ((rc, ro), (qc, qo)) for side in ("left", "right"))
+            for a, b, x, y in zip(*spans, strict=True):
+                r = ro[a:b]
+                for z in range(x, y, 256):  # a block of queries at a time
+                    q = qo[z : min(y, z + 256)]
+                    near, ids, d = best(qx[q], rx[r], ri[r], k + 1)
+                    out.append((qi[q][near], ids, d))
+        q, ids, d = (np.concatenate([x[n] for x in out]) for n in range(3))
+        return pa.table([pa.array(q), pa.array(ids), pa.array(d)], names=["q", "vec_id", "score"])
+
+    found = index.select(home("salt"), "*").groupBy("g").cogroup(asked.select(home("salt"), "*").groupBy("g")).applyInArrow(tidy(rank), "q long, vec_id long, score double")
+    order = Window.partitionBy("q").orderBy("score", "vec_id")
+    merged = found.groupBy("q", "vec_id").agg(F.min("score").alias("score")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).select("q", "vec_id", "score")
+    last = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    each = queries.select(F.col("id").alias("query_id"), "q").join(merged, "q").where("vec_id <> query_id")
+    return each.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
