@@ -118,6 +118,45 @@ def test_winnowing_keeps_one_of_each_window():
         assert all(any(g[i] == g[j : j + 9].min() for j in range(max(0, i - 8), min(i, n - 9) + 1)) for i in np.flatnonzero(k))
 
 
+def twisted(n):
+    """Two words of 2**n letters whose places sum up alike in any power up to n: polynomial hashes modulo a power of two can't tell them apart."""
+    bits = [bin(k).count("1") % 2 for k in range(1 << n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_of_equal_sums(spark):
+    from tidemill.llm.context_tree import score
+    from tidemill.llm.decontaminate import decontaminate
+    from tidemill.llm.similar import similar_groups
+    from tidemill.llm.substring import dedup
+
+    same = " ".join(f"w{k}" for k in range(12))
+    for n in (6, 10, 12):
+        a, b = twisted(n)
+        docs = spark.createDataFrame([(1, f"{a} {same}"), (2, f"{b} {same}")], "doc_id long, text string")
+        assert {r.n_removed for r in dedup(docs).collect()} == {0}
+        items = spark.createDataFrame([(1, f"{a} {same}")], "item_id long, text string")
+        assert {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate(docs, items).collect()} == {1: (13, 1), 2: (0, 0)}
+        out = as_dict(score(docs, use=F.col("__key") == 1, depth=1))
+        assert (out[1].n_known, out[2].n_known, out[1].train_tokens) == (14, 13, 14)
+    texts = [" ".join(t) for t in twisted(11)]
+    assert len({r.group for r in similar_groups(spark.createDataFrame(list(enumerate([*texts, "x"])), "doc_id long, text string")).collect()}) >= 2
+
+
+def test_long_items_are_cut(spark, docs):
+    from tidemill.llm.decontaminate import decontaminate, overlapping
+
+    words = [f"w{k}" for k in range(100)]
+    for size in (26, 40, 99, 100, 101):
+        pieces = [p.split() for p in overlapping(", ".join(words) + "!", size, 13)]
+        pieces = [[x.strip(",") for x in p] for p in pieces]
+        assert all(len(p) <= size for p in pieces) and {tuple(p[k : k + 13]) for p in pieces for k in range(len(p) - 12)} == {tuple(words[k : k + 13]) for k in range(88)}
+    big = [(7, PASSAGE + " x " + text(300) + " " + PASSAGE)]
+    items = spark.createDataFrame(big, "item_id long, text string")
+    out = as_dict(decontaminate(docs, items, block_words=60))
+    assert all((out[d].n_hit, out[d].item_ids) == (len(brute.contamination(t, big)[1]), brute.contamination(t, big)[2]) for d, t in enumerate(TEXTS))
+
+
 # --- quality ---------------------------------------------------------------
 
 
@@ -316,6 +355,68 @@ def test_language_edges(spark, docs):
     assert [r.lang_pred for r in identify(digits, model).orderBy("doc_id").collect()] == [UNKNOWN, "en"]
 
 
+def plain_vectors(text, dim=1024):
+    """The bundle of a text's trigrams, letter by letter."""
+    from tidemill.llm.language import vectors
+
+    def one(symbol, turn):
+        return 1 - 2 * np.unpackbits(vectors(np.array([ord(symbol)]), turn, dim), axis=1)[0].astype(int)
+
+    spaced = "  "
+    for c in text or "":
+        if c.isalpha():
+            spaced += c.lower()[0] if c.lower()[0].isalpha() else c
+        elif spaced[-1] != " ":
+            spaced += " "
+    out = np.zeros(dim, int)
+    for k in range(2, len(spaced)):
+        out += one(spaced[k - 2], 2) * one(spaced[k - 1], 1) * one(spaced[k], 0)
+    return out, len(spaced) > 2
+
+
+@pytest.mark.parametrize("piece, block", [(1 << 18, 4096), (50, 7)])
+def test_language_is_the_plain_one(spark, monkeypatch, piece, block):
+    from tidemill.llm import language
+
+    monkeypatch.setattr(language, "PIECE", piece)
+    monkeypatch.setattr(language, "BLOCK", block)
+    texts = ["The cat, the HAT!", "der Hund und die Katz", "日本語 テキスト、漢字かな交じり文 " * 4, "été çà Ünter", "  a  ", "x" * 200 + " " + "yz " * 60, None, "12 34"]
+    langs = ["en", "de", "ja", "fr", "en", "en", "de", "de"]
+    grams = language.Trigrams()
+    for t in texts:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        total, many = language.bundled(grams(raw, np.array([0, len(raw)])), np.zeros(1, np.int64), 1, 1024)
+        want, there = plain_vectors(t)
+        assert (total[0] == want).all() and (many[0] > 0) == there, t
+    rows = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string")
+    model = language.fit(rows, use=F.lit(True))
+    bundles = {x: sum(plain_vectors(t)[0] for t, y in zip(texts, langs, strict=True) if y == x) for x in set(langs)}
+    assert model.languages == sorted(bundles)
+    out = as_dict(language.identify(rows, model))
+    for d, t in enumerate(texts):
+        v, there = plain_vectors(t)
+        cosine = [v @ bundles[x] / np.linalg.norm(v) / np.linalg.norm(bundles[x]) if there else 0 for x in model.languages]
+        assert out[d].lang_pred == (model.languages[int(np.argmax(cosine))] if there else language.UNKNOWN)
+        assert out[d].score == pytest.approx(min(1, max(0, max(cosine))), rel=1e-6)
+
+
+def test_language_memory():
+    """20 MB of one text of thousands of letters."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from tidemill.llm.language import Trigrams, bundled
+base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text = "".join(map(chr, np.random.default_rng(0).integers(0x4E00, 0x9000, 200_000))).encode()
+raw = np.frombuffer(text * (1 + 2_000_000 // len(text)), np.uint8)
+bundled(Trigrams()(raw, np.array([0, len(raw)])), np.zeros(1, np.int64), 1, 1024)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) // 1024)
+"""
+    assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 200
+
+
 # --- neighbours ------------------------------------------------------------
 
 
@@ -373,17 +474,44 @@ def test_neighbours_beside_many_repeats(spark, parts):
     assert [r.vec_id for r in got] == [i for i, _ in want] and [r.score for r in got] == pytest.approx([s for _, s in want])
 
 
-def test_neighbours_in_blocks(spark):
+def test_neighbours_in_groups(spark):
     from tidemill.llm.forest import nearest
 
     x = np.random.default_rng(0).normal(size=(300, 8))
     df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
-    a = sorted(nearest(df, every=10, block=7).collect())
+    a = sorted(nearest(df, every=10, group=3).collect())  # a cell's rows are dealt to several groups
     assert a == sorted(nearest(df, every=10).collect()) and len(a) == 300
     want = exact(list(range(300)), x, 10, 10)
     assert [(r.query_id, r.vec_id) for r in a] == [(q, i) for q in sorted(want) for i, _ in want[q]]
 
 
+def test_neighbours_come_from_leaves(spark):
+    """A table of many leaves, of which a query sees a few: the same as a plain walk over the same trees, and a recall of 0.9."""
+    from tidemill.llm.forest import best, build, nearest, probe
+
+    rnd = np.random.default_rng(3)
+    x = np.repeat(rnd.normal(size=(60, 16)), 50, axis=0) + 0.3 * rnd.normal(size=(3000, 16))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    options = {"every": 50, "trees": 8, "leaf": 8, "share": 0.1, "least": 0}
+    got = {}
+    for r in nearest(df, **options).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    from pyspark.sql import functions as F
+
+    fitted = np.array([r.embedding for r in df.orderBy(F.xxhash64("embedding"), "embedding").collect()], float)
+    forest = build(fitted, 8, 8, 7)
+    assert len(forest[0].at) > 100
+    leaves, looked = np.stack([t.leaves(x) for t in forest]), []
+    want = exact(list(range(3000)), x, 10, 50)
+    for q in want:
+        rows = np.unique(np.concatenate([np.flatnonzero(leaves[c >> 32] == c & 0xFFFFFFFF) for c in probe(forest, x[q], 300)]))
+        looked.append(len(rows))
+        _, ids, d = best(x[q][None], x[rows], rows, 11)
+        assert got[q] == [(i, s) for i, s in zip(ids.tolist(), d.tolist(), strict=True) if i != q][:10]
+    assert np.mean(looked) < 450
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
+
+
 # --- substring -------------------------------------------------------------
 
 
@@ -417,6 +545,8 @@ def test_substring_edges(spark, docs):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit("mine"))
     got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in dedup(df, carry=df.columns).collect()))
     assert got == [(False, -5, 0), (False, 3, 30), (False, 3, 30), (False, 4, 0), (True, 0, 30), (True, 0, 30)]
+    assert {tuple(map(tuple, r.spans)) for r in dedup(df).where("doc_id = 3").collect()} == {((0, 30),)}
+    assert set(dedup(df, carry=["doc_id", "text"]).columns) == {"doc_id", "text", "n_words", "n_removed", "kept", "spans"}
     with pytest.raises(ValueError):
         dedup(df, window=12)
 
