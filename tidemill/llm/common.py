@@ -99,18 +99,20 @@ def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return out
 
 
-def dealt(df: DataFrame, column: str, buckets: int) -> DataFrame:
-    """`df` as a table in the shared folder, in buckets of `column`: groups by it, and cogroups of it with others, move these rows no more.
+def dealt(df: DataFrame, column: str, buckets: int, once: bool = False) -> DataFrame:
+    """`df` as a table in the shared folder, in buckets of `column`: groups by it, and cogroups and joins of it with others, move these rows no more.
 
-    The table is known to the session's catalogue only until its plan is made; `drop` deletes its files.
+    once: one row for each value. The table is known to the session's catalogue only until its plan is made; `drop` deletes its files.
     """
     spark = df.sparkSession
     path = new_path(spark)
     name = f"tidemill_{uuid.uuid4().hex}"
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
     buckets = min(most, max(buckets, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    rows = df.repartition(buckets, column)
+    rows = rows.dropDuplicates([column]) if once else rows
     with _released(spark):
-        df.repartition(buckets, column).write.format("parquet").bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
+        rows.write.format("parquet").bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
     out = spark.table(name)
     out._tidemill_path = path if out.columns else None
     spark.sql(f"DROP TABLE {name}")

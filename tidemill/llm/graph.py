@@ -14,7 +14,7 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps. Each keeps components, and each writes its links to shared storage, so no plan
     grows and no link comes to the driver; only a count and a checksum do, to see that nothing changed. A round that changes nothing comes after
     about log squared of the longest path, so none is set as the last. A node of very many links has its minimum made by partial aggregation,
-    and its joins may be split by the engine. The result reads the last round's table; those of earlier rounds are deleted.
+    and its joins may be split by the engine. The result is a table of its own; those of the rounds are deleted.
     """
     links = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), codec="snappy")
 
@@ -37,4 +37,6 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
             break
         before = after
     stars = links.groupBy("b").agg(F.min("a").alias("root")).withColumnRenamed("b", "node")
-    return stars.unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+    out = cut(stars.unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()), codec="snappy")
+    drop(links)
+    return out

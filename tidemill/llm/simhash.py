@@ -104,7 +104,7 @@ def components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", widt
     """
     rows = cut(fingerprints(docs, text=text, carry=(key,), width=width).withColumnRenamed(key, "doc_id"), codec="snappy")
     prints = cut(rows.groupBy(F.col("simhash").alias("f")).agg(F.min("doc_id").alias("d")), codec="snappy")
-    roots = cut(smallest_reachable(links(prints.select("f"), hot=hot)), codec="snappy")
+    roots = smallest_reachable(links(prints.select("f"), hot=hot))
     of = prints.join(roots, prints.f == roots.node, "left").select("f", "d", F.coalesce("root", "f").alias("root"))
     named = of.groupBy("root").agg(F.min("d").alias("component_id"))
     ids = of.join(named, "root").select("f", "component_id")
