@@ -2,8 +2,9 @@
 
 Reading plans partitions from file sizes and the offsets that a writer's manifest lists. In each, a record's headers are parsed first:
 records whose type or headers fail the pushed predicates are skipped, and payloads that nobody wants are not decoded. A gzip member
-whose extra field 'sl' tells its length is skipped without inflating the rest of it; other members are inflated to their end, and
-Content-Length is what skips in plain files. Files are reached through pyarrow's file systems, so a path may be a URI.
+whose extra field 'sl' tells that one record is all of it is skipped without inflating the rest; other members are inflated record by
+record, however many a member has, and Content-Length is what skips in plain files. Files are reached through pyarrow's file systems, so a
+path may be a URI.
 """
 
 from __future__ import annotations
@@ -51,11 +52,11 @@ def parse_headers(block: bytes) -> dict[str, str]:
     return out
 
 
-class _Source:
-    """Buffered bytes of a file from an offset, with skipping."""
+class _Stream:
+    """Bytes of a file from an offset on, with skipping. A buffer is only added to at its end and taken from at its front, so all is linear."""
 
-    def __init__(self, file, at: int, past: int, step: int = 1 << 18):
-        self.file, self.at, self.past, self.step, self.buffer = file, at, past, step, b""
+    def __init__(self, file, at: int, step: int = 1 << 18):
+        self.file, self.at, self.step, self.buffer = file, at, step, bytearray()
         file.seek(at)
 
     def more(self) -> bool:
@@ -69,85 +70,127 @@ class _Source:
                 return False
         return True
 
+    def take(self, n: int) -> bytes:
+        """The next n bytes, or what there is of them."""
+        self.need(n)
+        out = bytes(self.buffer[:n])
+        del self.buffer[:n]
+        self.at += len(out)
+        return out
+
     def skip(self, n: int) -> None:
         """Past the next n bytes, by a seek beyond what is buffered."""
         self.at += n
         if n <= len(self.buffer):
-            self.buffer = self.buffer[n:]
+            del self.buffer[:n]
         else:
-            self.buffer = b""
+            self.buffer.clear()
             self.file.seek(self.at)
 
+    def head(self) -> bytes | None:
+        """A record's header block, past the empty lines before it; None at the end."""
+        while self.need(1) and self.buffer[0] in b"\r\n":
+            self.take(1)
+        seen = 0
+        while (at := self.buffer.find(_END, seen)) < 0:
+            seen = max(0, len(self.buffer) - 3)
+            if not self.more():
+                if self.buffer:
+                    raise ValueError("a record ends early")
+                return None
+        out = self.take(at + 4)[:at]
+        if not out.startswith(b"WARC/"):
+            raise ValueError("no WARC record")
+        return out
+
+
+class _Inflated(_Stream):
+    """What gzip members hold, one after the other."""
+
+    def __init__(self, file, at: int):
+        super().__init__(file, at)
+        self.raw, self.unzip, self.length, self.whole = _Stream(file, at), None, None, None
 
-def _gzip_length(head: bytes) -> int | None:
-    """Bytes of this gzip member as its extra field 'sl' tells, if it does."""
+    @property
+    def between(self) -> bool:
+        """Nothing is left of the member read last."""
+        return not self.buffer and (self.unzip is None or self.unzip.eof)
+
+    def more(self) -> bool:
+        if self.unzip is None or self.unzip.eof:
+            if not self.raw.need(18):
+                return False
+            self.raw.need(512)  # or what is left
+            self.length, self.whole = _gzip_length(bytes(self.raw.buffer[:512]))
+            self.unzip, self.begin = zlib.decompressobj(31), self.raw.at
+        piece = self.raw.take(min(max(4096, len(self.raw.buffer)), 1 << 16)) if self.buffer else self.raw.take(4096)
+        if not piece:
+            raise ValueError("a gzip member ends early")
+        self.buffer += self.unzip.decompress(piece, 1 << 20)
+        back = self.unzip.unused_data if self.unzip.eof else self.unzip.unconsumed_tail
+        if back:
+            self.raw.buffer[:0] = back
+            self.raw.at -= len(back)
+        return True
+
+    def skip(self, n: int) -> None:
+        while n and self.need(1):
+            n -= len(self.take(min(n, len(self.buffer))))
+
+    def leave(self) -> None:
+        """Past the member, without inflating the rest."""
+        self.raw.skip(self.begin + self.length - self.raw.at)
+        self.buffer.clear()
+        self.unzip = None
+
+
+def _gzip_length(head: bytes) -> tuple[int | None, int | None]:
+    """Bytes of this gzip member, and of what it holds, as its extra field 'sl' tells, if it does."""
     if len(head) < 12 or not head[3] & 4:
-        return None
+        return None, None
     size = struct.unpack_from("<H", head, 10)[0]
     at, past = 12, 12 + size
     while at + 4 <= min(past, len(head)):
         kind, n = head[at : at + 2], struct.unpack_from("<H", head, at + 2)[0]
-        if kind == b"sl" and n >= 8 and at + 8 <= len(head):
-            return struct.unpack_from("<I", head, at + 4)[0] or None
+        if kind == b"sl" and n >= 8 and at + 12 <= len(head):
+            packed, whole = struct.unpack_from("<II", head, at + 4)
+            return packed or None, whole
         at += 4 + n
-    return None
+    return None, None
 
 
 def records(file, at: int, past: int, packed: bool, want, payloads: bool) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    """(headers, block or None) of the records that begin in [at, past). want(headers) decides before anything else is decoded."""
-    source = _Source(file, at, past)
-    while source.at < past and source.need(18 if packed else 1):
-        if packed:
-            source.need(512)  # or what is left
-            length = _gzip_length(source.buffer[:512])
-            unzip, text, fed = zlib.decompressobj(31), b"", 0
-            while _END not in text and not unzip.eof:
-                if fed == len(source.buffer) and not source.more():
-                    break
-                piece = source.buffer[fed : fed + 4096]
-                fed += len(piece)
-                text += unzip.decompress(piece)
-            head, _, rest = text.partition(_END)
-            headers = parse_headers(head)
-            take = want(headers)
-            if length and not (take and payloads):
-                source.skip(length)
-            else:
-                size = int(headers.get("content-length", 0))
-                parts, have = [rest], len(rest)
-                while not unzip.eof:
-                    if fed == len(source.buffer) and not source.more():
-                        raise ValueError("a gzip member ends early")
-                    piece = source.buffer[fed:]
-                    fed = len(source.buffer)
-                    new = unzip.decompress(piece)
-                    if take and payloads and have < size:
-                        parts.append(new)
-                        have += len(new)
-                source.skip(fed - len(unzip.unused_data))
-                rest = b"".join(parts)[:size]
-        else:
-            while source.buffer[:2] == b"\r\n":  # what ends the record before
-                source.skip(2)
-                if not source.need(1):
-                    return
+    """(headers, block or None) of the records that begin in [at, past), packed: in members that do. want(headers) decides before anything else is decoded."""
+    source = _Inflated(file, at) if packed else _Stream(file, at)
+    while True:
+        if packed and source.between:
+            if source.raw.at >= past:
+                return
+        elif not packed:
+            while source.need(1) and source.buffer[0] in b"\r\n":
+                source.take(1)
             if source.at >= past:
                 return
-            while _END not in source.buffer:
-                if not source.more():
-                    return
-            head = source.buffer[: source.buffer.index(_END)]
-            headers = parse_headers(head)
-            take, size = want(headers), int(headers.get("content-length", 0))
-            source.skip(len(head) + 4)
-            rest = b""
-            if take and payloads:
-                if not source.need(size):
-                    raise ValueError("a record ends early")
-                rest = source.buffer[:size]
-            source.skip(size + 4)
+        fresh = packed and source.between
+        head = source.head()
+        if head is None:
+            return
+        headers = parse_headers(head)
+        take, size = want(headers), int(headers.get("content-length", 0))
+        if fresh and source.length and source.whole == len(head) + 4 + size + 4 and not (take and payloads):
+            source.leave()
+        elif take and payloads:
+            block = source.take(size)
+            if len(block) < size:
+                raise ValueError("a record ends early")
+        else:
+            source.skip(size)
         if take:
-            yield headers, rest if payloads else None
+            yield headers, block if payloads else None
+        if packed:
+            source.skip(4) if not source.between else None
+            while source.buffer and source.buffer[0] in b"\r\n":
+                source.take(1)
 
 
 def payload_of(headers: dict[str, str], block: bytes | None) -> bytes | None:
@@ -404,14 +447,20 @@ def page_records(pages: DataFrame, *, key: str = "page_id", url: str = "url", ht
     Edge cases: a null html is the empty payload; a null key is written as such and is the earliest of nobody; rows that repeat the smallest key of
     their payload are all responses; columns that are not named don't matter.
     """
-    from tidemill.llm.common import cut
+    from tidemill.llm.common import cut, drop
 
     base = pages.select(F.col(f"`{key}`").alias("k"), F.col(f"`{url}`").alias("u"), F.coalesce(F.col(f"`{html}`"), F.lit("")).cast("binary").alias("payload"))
     base = base.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload")})
-    # few columns, summed before they are dealt out; only payloads that come again stay, so the join is as small as the data allow
-    again = cut(base.where(F.col("size") >= least).groupBy("digest").agg(F.min(F.when(F.col("k").isNotNull(), F.struct("k", "u"))).alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select(F.col("digest").alias("d"), F.col("first.k").alias("first"), F.col("first.u").alias("first_url")))
-    both = base.join(again, (base.digest == again.d) & (base.size >= least), "left")
-    late = F.col("first").isNotNull() & ~F.col("k").eqNullSafe(F.col("first"))
+    # what is decided by digest is decided without the payloads, which only meet their own row's decision; a digest of very many pages is dealt out
+    few = base.where(F.col("size") >= least).select("k", "u", "digest")
+    again = cut(few.groupBy("digest").agg(F.min(F.when(F.col("k").isNotNull(), F.struct("k", "u"))).alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select(F.col("digest").alias("d"), F.col("first.k").alias("first"), F.col("first.u").alias("first_url")))
+    salted = again.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15)))).hint("merge")
+    own = few.select("k", "digest").distinct().withColumn("s", F.pmod(F.xxhash64("k"), F.lit(16)).cast("int"))
+    narrow = own.join(salted, (F.col("digest") == F.col("d")) & (F.col("s") == F.col("salt")))
+    revisits = cut(narrow.where(~F.col("k").eqNullSafe(F.col("first"))).select(F.col("k").alias("own"), "d", "first", "first_url"))
+    drop(again)
+    both = base.join(revisits, F.col("k").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("d")), "left")
+    late = F.col("first").isNotNull()
 
     def urn(c):
         return F.concat(F.lit("<urn:x-page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
