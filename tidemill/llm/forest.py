@@ -128,9 +128,14 @@ def best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tupl
         limit = np.partition(each, k - 1, axis=0)[k - 1] + 1e-9 * (own.max() + norm)
     r, c = np.nonzero(rough <= limit[None, :])
     d = np.sqrt(((rows[r] - queries[c]) ** 2).sum(axis=1))
-    order = np.lexsort((d, ids[r], c))
-    q, i, d = c[order], ids[r][order], d[order]
-    once = np.r_[True, (np.diff(q) != 0) | (np.diff(i) != 0)]
+    return nearest_of(c, ids[r], d, k)
+
+
+def nearest_of(q: np.ndarray, i: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first k different ids of each query, by distance and then by id."""
+    order = np.lexsort((d, i, q))
+    q, i, d = q[order], i[order], d[order]
+    once = np.r_[True, (np.diff(q) != 0) | (np.diff(i) != 0)][: len(q)]
     q, i, d = q[once], i[once], d[once]
     order = np.lexsort((i, d, q))
     q, i, d = q[order], i[order], d[order]
@@ -194,7 +199,8 @@ def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding
     schema = f"cell long, id long, v {entries.schema['v'].dataType.simpleString()}"
     home = lambda salt: F.pmod(F.xxhash64("cell", salt), F.lit(groups)).cast("int").alias("g")
     index = entries.select("id", "v").mapInArrow(cells(leaves), schema).select("*", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"))
-    asked = queries.where("id = q").select("id", "v").mapInArrow(cells(probes), schema).select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    walkers = max(spark.sparkContext.defaultParallelism, total // every // 4096)
+    asked = queries.where("id = q").select("id", "v").repartition(walkers, "id").mapInArrow(cells(probes), schema).select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
 
     def rank(keys: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
@@ -209,7 +215,7 @@ def nearest(rows: DataFrame, *, key: str = "vec_id", embedding: str = "embedding
                     q = qo[z : min(y, z + 256)]
                     near, ids, d = best(qx[q], rx[r], ri[r], k + 1)
                     out.append((qi[q][near], ids, d))
-        q, ids, d = (np.concatenate([x[n] for x in out]) for n in range(3))
+        q, ids, d = nearest_of(*(np.concatenate([x[n] for x in out]) for n in range(3)), k + 1)
         return pa.table([pa.array(q), pa.array(ids), pa.array(d)], names=["q", "vec_id", "score"])
 
     found = index.select(home("salt"), "*").groupBy("g").cogroup(asked.select(home("salt"), "*").groupBy("g")).applyInArrow(tidy(rank), "q long, vec_id long, score double")
