@@ -595,8 +595,11 @@ def test_archive_reader(tmp_path):
     (tmp_path / "sl.warc.gz").write_bytes(b"".join(warc._member(r, 6) for r in raw))
     (tmp_path / "no.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in raw))
     (tmp_path / "plain.warc").write_bytes(b"".join(raw))
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join(raw)))  # all records in one member
+    (tmp_path / "some.warc.gz").write_bytes(warc._member(b"".join(raw[:4]), 6) + gzip.compress(raw[4]) + warc._member(b"".join(raw[5:]), 1))
+    (tmp_path / "cut.warc.gz").write_bytes(b"".join(gzip.compress(b"".join(raw)[k : k + 70_000]) for k in range(0, sum(map(len, raw)), 70_000)))  # members end within records
     assert gzip.decompress((tmp_path / "sl.warc.gz").read_bytes()) == b"".join(raw)
-    for name in ("sl.warc.gz", "no.warc.gz", "plain.warc"):
+    for name in ("sl.warc.gz", "no.warc.gz", "plain.warc", "one.warc.gz", "some.warc.gz", "cut.warc.gz"):
         reader = warc.WarcReader({"path": str(tmp_path / name)})
         (part,) = reader.partitions()
         found = [r for b in reader.read(part) for r in b.to_pylist()]
@@ -604,7 +607,32 @@ def test_archive_reader(tmp_path):
         push = warc.PushReader({"path": str(tmp_path / name)})
         assert list(push.pushFilters([warc.EqualTo(("record_id",), "<urn:x-page:4>"), warc.StringStartsWith(("target_uri",), "u"), warc.EqualTo(("content_length",), 5)])) == [warc.EqualTo(("content_length",), 5)]
         assert [r["payload"][:1] for b in push.read(part) for r in b.to_pylist()] == [b"\x04"]
-    assert len(warc.WarcReader({"path": str(tmp_path), "partition_bytes": "1000"}).partitions()) == 3
+        no = warc.WarcReader({"path": str(tmp_path / name), "payload": "false"})
+        assert [(r["record_id"], r["payload"]) for b in no.read(part) for r in b.to_pylist()] == [(r["record_id"], None) for r in rows]
+    assert len(warc.WarcReader({"path": str(tmp_path), "partition_bytes": "1000"}).partitions()) == 6
+    # parts of a file: each record once, with the part in which it (packed: its member) begins
+    ends = np.cumsum([0, *map(len, raw)]).tolist()
+    for a, b in zip(ends[::3], ends[3::3], strict=False):
+        with open(tmp_path / "plain.warc", "rb") as f:
+            assert [h["warc-record-id"] for h, _ in warc.records(f, a, b, False, lambda h: True, True)] == [r["record_id"] for r, at in zip(rows, ends, strict=False) if a <= at < b]
+
+
+def test_archive_of_a_large_record(tmp_path):
+    import gzip
+    import time
+
+    from tidemill.llm import warc
+
+    row = {"record_id": "<urn:x-page:1>", "record_type": "response", "target_uri": "u", "date": "d", "refers_to": None, "refers_to_uri": None, "payload_digest": "00", "payload": np.random.default_rng(0).bytes(96 << 20)}
+    raw = warc.record_bytes(row)
+    (tmp_path / "a.warc").write_bytes(raw + warc.record_bytes(row | {"payload": b"x"}))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(raw + warc.record_bytes(row | {"payload": b"x"}), 1))
+    for name in ("a.warc", "b.warc.gz"):
+        began = time.process_time()
+        reader = warc.WarcReader({"path": str(tmp_path / name)})
+        (part,) = reader.partitions()
+        found = [len(r) for b in reader.read(part) for r in b.column("payload").to_pylist()]
+        assert found == [96 << 20, 1] and time.process_time() - began < 20
 
 
 def test_archives_empty(spark, tmp_path):
