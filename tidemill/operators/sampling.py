@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 def exact_sample(df: DataFrame, k: int, *, seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """Exactly k rows (all, if fewer), each set of k as likely; with `key` the same rows on every run, however they are partitioned."""
-    order = F.xxhash64(F.lit(seed), *key) if key else F.rand(seed)
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])) if key else F.rand(seed)
     return df.withColumn("__r", order).orderBy("__r", *(key or [])).limit(k).drop("__r")
 
 
 def symbol_sample(features: DataFrame, labels: DataFrame, k: int = 100, *, seed: int = 42, symbol: str = "symbol") -> DataFrame:
     """k of the symbols that both have, chosen by a seeded hash."""
     both = features.select(symbol).intersect(labels.select(symbol))
-    return both.orderBy(F.xxhash64(F.lit(seed), symbol), symbol).limit(k)
+    return both.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), symbol)), symbol).limit(k)
 
 
 def rows_of_sample(df: DataFrame, pool: DataFrame, *, symbol: str = "symbol") -> DataFrame:

@@ -20,6 +20,7 @@ from tidemill.operators import sampling as sp
 from tidemill.operators import sgd
 from tidemill.plans.adapters import BOOK, DAY_BARS, ENRICHED, HOUR_BARS, TICKS, WINDOW, book_feed, day_bars, hour_bars, raw_feed, rounded, sql_round, table, ticks
 from tidemill.schemas import BAR
+from tidemill.sources.scratch import remove, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,10 +192,11 @@ def ohlcv_day(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {ENRICHED}, g AS (SELECT *, CASE WHEN seq % 7 = 0 THEN NULL ELSE price END AS p, ts + 28800000000 - (ts + 28800000000) % 86400000000 AS bar FROM e)
-    SELECT symbol, bar AS ts, arg_min(p, ts) AS open, arg_max(p, ts) AS close, count(p) AS trade_count FROM g GROUP BY symbol, bar""")
+    SELECT symbol, bar AS ts, arg_min(p, ts) AS open, max(p) AS high, min(p) AS low, arg_max(p, ts) AS close, CAST(sum(volume) AS BIGINT) AS volume, round(sum(notional), 4) AS notional, count(p) AS trade_count,
+        CAST(strftime(make_timestamp(bar), '%Y%m%d') AS INTEGER) AS trade_date, CAST(0 AS SMALLINT) AS minute, '00:00' AS minute_str FROM g GROUP BY symbol, bar""")
 def ohlcv_null_prices(spark: SparkSession, sf: str) -> DataFrame:
     t = br.enrich(ticks(spark, sf)).withColumn("price", F.when(F.col("seq") % 7 != 0, F.col("price")))
-    return br.ohlcv(t, step=ta.DAY).select("symbol", "ts", "open", "close", "trade_count")
+    return rounded(br.ohlcv(t, step=ta.DAY), 4, ["notional"])
 
 
 _FLOW = """SELECT symbol, bar AS bar_us, CAST(sum(CASE WHEN event IS NULL THEN NULL WHEN event = 'ADD' THEN volume ELSE 0 END) AS BIGINT) AS add_volume,
@@ -209,9 +211,9 @@ def order_flow_bars(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(br.order_flow(br.enrich(ticks(spark, sf)), step=ta.DAY), 4)
 
 
-@query(f"WITH {ENRICHED}, f AS (SELECT *, ts - ts % 60000000 AS bar FROM e) SELECT symbol, make_timestamp(bar_us) AS minute, add_volume, net_volume, event_count FROM ({_FLOW})")
+@query(f"WITH {ENRICHED}, f AS (SELECT *, ts - ts % 60000000 AS bar FROM e) SELECT symbol, make_timestamp(bar_us) AS minute, add_volume, cancel_volume, net_volume, add_notional, cancel_notional, event_count FROM ({_FLOW})")
 def order_flow_minute(spark: SparkSession, sf: str) -> DataFrame:
-    return br.order_flow(br.enrich(ticks(spark, sf))).select("symbol", br.minute_of().alias("minute"), "add_volume", "net_volume", "event_count")
+    return rounded(br.order_flow(br.enrich(ticks(spark, sf))).select("symbol", br.minute_of().alias("minute"), "add_volume", "cancel_volume", "net_volume", "add_notional", "cancel_notional", "event_count"), 4)
 
 
 @query(f"""WITH {TICKS}, m AS (SELECT seq, ts + 28800000000 AS l FROM t)
@@ -269,7 +271,7 @@ _L1 = {
 for _name, (_column, _sql) in _L1.items():
     query(f"{_IN} SELECT symbol, ts, {sql_round(_sql, _column)} FROM x WINDOW w AS (PARTITION BY symbol ORDER BY ts)", _name)(lambda spark, sf, c=_column: rounded(ft.l1_statistics(_l1_input(spark, sf), WINDOW).select("symbol", "ts", c)))
 
-_Z = ["close", "volume", "l0_amount", "l0_log_volume"]
+_Z = ["ts", "trade_date", "minute", "open", "high", "low", "close", "volume", "notional", "trade_count", *_L0_NAMES]
 
 
 def _z(c: str) -> str:
@@ -280,20 +282,20 @@ def _z(c: str) -> str:
 
 @query(f"{_IN} SELECT symbol, ts, {', '.join(map(_z, _Z))} FROM x")
 def l1_zscore(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(ft.l1_zscores(ft.l0(day_bars(spark, sf)), WINDOW, columns=_Z).select("symbol", "ts", *[f"l1_z_w{WINDOW}_{c}" for c in _Z]), 4)
+    return rounded(ft.l1_zscores(ft.l0(day_bars(spark, sf)), WINDOW).select("symbol", "ts", *[f"l1_z_w{WINDOW}_{c}" for c in _Z]), 4)
 
 
-_BASE12 = ["symbol", "ts", "trade_date", "minute", "minute_str", "open", "high", "low", "close", "volume", "trade_count"]
-_STAT3 = [f"l1_std_w{WINDOW}_abs_move", f"l1_ret_w{WINDOW}_1", f"l1_ratio_w{WINDOW}_range"]
-_Z_ALL = ["ts", "trade_date", "open", "high", "low", "close", "volume", *_L0_NAMES[:1], "l0_avg_trade_size", "l0_log_volume"]
+_BARS = ["symbol", "ts", "trade_date", "minute", "minute_str", "open", "high", "low", "close", "volume", "trade_count"]
+_STATISTICS = [f"l1_std_w{WINDOW}_abs_move", f"l1_ret_w{WINDOW}_1", f"l1_ratio_w{WINDOW}_range"]
+_Z_ALL = ["ts", "trade_date", "minute", "open", "high", "low", "close", "volume", "notional", "trade_count", *_L0_NAMES, *_STATISTICS]
 
 
-@query(f"""WITH {DAY_BARS}, {_L0}, s AS (SELECT *, {', '.join(f"{q} AS {c}" for n, (c, q) in _L1.items() if c in _STAT3)} FROM l0 WINDOW w AS (PARTITION BY symbol ORDER BY ts))
-    SELECT {', '.join(_BASE12)}, {sql_round('notional', 'notional', 4)}, {', '.join(sql_round(c, c, 4) for c in [*_L0_NAMES, *_STAT3])}, {', '.join(map(_z, _Z_ALL))} FROM s""")
+@query(f"""WITH {DAY_BARS}, {_L0}, s AS (SELECT *, {', '.join(f"{q} AS {c}" for n, (c, q) in _L1.items() if c in _STATISTICS)} FROM l0 WINDOW w AS (PARTITION BY symbol ORDER BY ts))
+    SELECT {', '.join(_BARS)}, {sql_round('notional', 'notional', 4)}, {', '.join(sql_round(c, c, 4) for c in [*_L0_NAMES, *_STATISTICS])}, {', '.join(map(_z, _Z_ALL))} FROM s""")
 def feature_chain(spark: SparkSession, sf: str) -> DataFrame:
-    """Ticks to 40 feature columns; the z-scores of columns that are constant in a bar of a day are made but not compared."""
+    """Ticks to 40 feature columns."""
     made = ft.feature_chain(day_bars(spark, sf), WINDOW)
-    return rounded(made.select(*_BASE12, "notional", *_L0_NAMES, *_STAT3, *[f"l1_z_w{WINDOW}_{c}" for c in _Z_ALL]), 4, ["notional", *_L0_NAMES, *_STAT3, *[f"l1_z_w{WINDOW}_{c}" for c in _Z_ALL]])
+    return rounded(made, 4, [c for c in made.columns if c not in _BARS])
 
 
 # --- labels and training sets ----------------------------------------------
@@ -301,7 +303,12 @@ def feature_chain(spark: SparkSession, sf: str) -> DataFrame:
 _LEAD = "lead(close, {n}) OVER (PARTITION BY symbol ORDER BY ts)"
 
 
-@query(f"WITH {HOUR_BARS} SELECT symbol, ts, {', '.join('CASE WHEN close <> 0 THEN round(' + _LEAD.format(n=n) + f' / close - 1, 6) END + 0.0 AS label_fwd_ret_s{n}' for n in (1, 5))} FROM b")
+def _return(n: int) -> str:
+    then = _LEAD.format(n=n)
+    return f"CASE WHEN close <> 0 THEN round({then} / close - 1, 6) + 0.0 WHEN {then} > 0 THEN CAST('inf' AS DOUBLE) WHEN {then} < 0 THEN CAST('-inf' AS DOUBLE) WHEN {then} = 0 THEN CAST('nan' AS DOUBLE) END AS label_fwd_ret_s{n}"
+
+
+@query(f"WITH {HOUR_BARS} SELECT symbol, ts, {_return(1)}, {_return(5)} FROM b")
 def fwd_return(spark: SparkSession, sf: str) -> DataFrame:
     b = lb.forward_return(lb.forward_return(hour_bars(spark, sf), 1), 5)
     return rounded(b.select("symbol", "ts", "label_fwd_ret_s1", "label_fwd_ret_s5"))
@@ -454,7 +461,7 @@ def cls_metrics(spark: SparkSession, sf: str) -> DataFrame:
 # --- backtest --------------------------------------------------------------
 
 _STEP = ta.HOUR
-_GRID = f"""{TICKS}, k AS (SELECT min(ts) - min(ts) % 60000000 AS a, max(ts) AS z FROM t), u AS (SELECT DISTINCT symbol FROM t WHERE CAST(symbol AS BIGINT) % 5 = 0),
+_GRID = f"""{TICKS}, k AS (SELECT min(ts) - min(ts) % 60000000 AS a, max(ts) AS z FROM t), u AS (SELECT DISTINCT symbol FROM t),
     c AS (SELECT u.symbol, unnest(range(k.a, k.z + 1, {_STEP})) AS ts FROM u, k),
     h AS (SELECT c.symbol, c.ts, x.price FROM c ASOF LEFT JOIN t x ON c.symbol = x.symbol AND c.ts >= x.ts),
     i AS (SELECT symbol, ts, CASE WHEN price > 20 THEN price END AS price, price - 100 AS score FROM h)"""
@@ -548,20 +555,22 @@ def parse_datetimes(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("event_id", ta.parse_instant(text("yyyy-MM-dd HH:mm:ss")).alias("from_text"), ta.parse_instant(text("yyyyMMddHHmmss")).alias("from_compact"), F.date_format(ta.extract_date(F.when(F.col("event_id") % 2 == 0, text("yyyy/MM/dd HH:mm:ss")).otherwise(text("yyyyMMdd"))), "yyyy-MM-dd").alias("day"))
 
 
-@query(f"WITH {_RAW}, s AS (SELECT event_id, lpad(CAST(hh * 10000000 + mi * 100000 + ss * 1000 + cc AS VARCHAR), 9, '0') AS t FROM w WHERE hh >= 9) SELECT event_id, CAST(t[1:2] AS INTEGER) AS hh, CAST(t[3:4] AS INTEGER) AS mm, CAST(t[5:6] AS INTEGER) AS ss, CAST(t[7:9] AS INTEGER) AS mmm FROM s")
+@query(f"""WITH {_RAW}, a AS (SELECT event_id, CAST(hh * 10000000 + mi * 100000 + ss * 1000 + cc AS VARCHAR) AS r FROM w),
+    b AS (SELECT event_id, r, CASE WHEN length(r) <> 9 AND r[1] = '9' THEN '0' || r ELSE r END AS q FROM a), s AS (SELECT event_id, r, CASE WHEN length(q) <> 9 THEN q || '0' ELSE q END AS t FROM b)
+    SELECT event_id, {', '.join(f"CASE WHEN length(r) BETWEEN 7 AND 9 THEN CAST({part} AS INTEGER) END AS {name}" for name, part in (('hh', 't[1:length(t) - 7]'), ('mm', 't[-7:-6]'), ('ss', 't[-5:-4]'), ('mmm', 't[-3:]')))} FROM s""")
 def tick_parts(spark: SparkSession, sf: str) -> DataFrame:
     raw = raw_feed(spark, sf).select(F.col("SubSeq").cast("long").alias("event_id"), F.col("TickTime").cast("long").alias("t"))
     long = (F.call_function("div", F.col("t"), F.lit(100)) * 1000 + F.col("t") % 100).cast("string")
     return raw.select("event_id", ta.tick_parts(long).alias("p")).select("event_id", "p.*")
 
 
-@query()
+@query(f"""WITH {TICKS}, k AS (SELECT symbol FROM (SELECT symbol FROM t INTERSECT SELECT symbol FROM t WHERE price > 50) ORDER BY md5('42:' || symbol), symbol LIMIT 20) SELECT symbol, ts, price FROM t JOIN k USING (symbol)""")
 def symbol_sample(spark: SparkSession, sf: str) -> DataFrame:
     t = ticks(spark, sf)
     return sp.rows_of_sample(t.select("symbol", "ts", "price"), sp.symbol_sample(t, t.where("price > 50"), 20))
 
 
-@query()
+@query(f"WITH {TICKS} SELECT symbol, ts, seq, price FROM t ORDER BY md5('42:' || seq), seq LIMIT 500")
 def reservoir_sample(spark: SparkSession, sf: str) -> DataFrame:
     return sp.exact_sample(ticks(spark, sf).select("symbol", "ts", "seq", "price"), 500, key=["seq"])
 
@@ -574,15 +583,6 @@ def last_price(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------
 
 
-def _run_stream(df: DataFrame, mode: str) -> DataFrame:
-    """All that is there now, through a streaming query into a table in memory."""
-    import uuid
-
-    name = f"tidemill_{uuid.uuid4().hex}"
-    df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return df.sparkSession.table(name)
-
-
 @query("""SELECT CAST(user_id AS VARCHAR) AS symbol, epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS bar_us, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close, CAST(sum(event_id % 100 + 1) AS BIGINT) AS volume, count(*) AS trade_count FROM events GROUP BY 1, 2""")
 def stream_bars(spark: SparkSession, sf: str) -> DataFrame:
     from tidemill.streaming.bars import stream_bars as bars
@@ -591,23 +591,26 @@ def stream_bars(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(path).schema
     source = spark.readStream.schema(schema).parquet(path if not path.endswith(".parquet") else f"{sf}/events.parquet*")
     t = source.select(F.col("user_id").cast("string").alias("symbol"), F.timestamp_micros(ta.micros("ts")).alias("time"), F.col("event_id").alias("seq"), F.col("value").alias("price"), (F.col("event_id") % 100 + 1).alias("volume"))
-    out = _run_stream(bars(t, width="1 day"), "complete")
-    return out.select("symbol", F.unix_micros("bar").alias("bar_us"), "open", "high", "low", "close", "volume", "trade_count")
+    out, mark = scratch(spark), scratch(spark)
+    bars(t, width="1 day").writeStream.outputMode("complete").option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start().awaitTermination()
+    remove(spark, mark)
+    return spark.read.parquet(out).select("symbol", F.unix_micros("bar").alias("bar_us"), "open", "high", "low", "close", "volume", "trade_count")
 
 
 @query(_TOP)
 def stream_book(spark: SparkSession, sf: str) -> DataFrame:
-    """The live book fed once with all events: a state a symbol, then its levels."""
-    from tidemill.streaming.book import step
-
-    class Fresh:
-        exists = False
-
-        def update(self, value):
-            self.value = value
-
-    feed = book_feed(spark, sf).select(*ob.COLUMNS, "seq")
-    return feed.groupBy("symbol").applyInPandas(lambda key, rows: next(iter(step(key, [rows], Fresh()))), ob.SNAPSHOT)
+    """The live book: events arrive in three files, a stream takes each up, goes down, and comes again with the state that it left."""
+    from tidemill.streaming.book import latest, stream_book as book
+
+    feed, into, out, mark = book_feed(spark, sf).select(*ob.COLUMNS, "seq"), scratch(spark), scratch(spark), scratch(spark)
+    low, high = feed.agg(F.min("ts"), F.max("ts")).first()
+    third = (high - low) // 3 + 1
+    for k in range(3):
+        feed.where((F.col("ts") >= low + k * third) & (F.col("ts") < low + (k + 1) * third)).write.mode("append").parquet(into)
+        levels = book(spark.readStream.schema(feed.schema).parquet(into))
+        levels.writeStream.outputMode("update").option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(out)).start().awaitTermination()
+    remove(spark, into, mark)
+    return latest(spark.read.parquet(out))
 
 
 __all__ = ["BAR", "ORACLE_SQL", "QUERIES", "Window"]

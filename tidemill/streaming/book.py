@@ -8,6 +8,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemill.operators.orderbook import COLUMNS, Book
 from tidemill.schemas import SNAPSHOT
@@ -38,11 +39,18 @@ def step(key: tuple, frames: Iterable[pd.DataFrame], state: Any, depth: int = 10
         volume = some(volume)
         book.apply(int(ts), event, int(order_id), some(side), some(price), None if volume is None else int(volume))
     state.update((_dump(book),))
-    yield pd.DataFrame([(key[0], *r) for r in book.rows(depth)], columns=SNAPSHOT.names)
+    levels = [(key[0], *r) for r in book.rows(depth)] or [(key[0], book.last_ts, None, None, None, None)]
+    yield pd.DataFrame(levels, columns=SNAPSHOT.names).astype({"level": "Int16", "volume": "Int64", "ts": "Int64"})
 
 
 def stream_book(events: DataFrame, *, depth: int = 10) -> DataFrame:
-    """Snapshots of a stream of book events with a sequence number; write them in update mode."""
+    """Snapshots of a stream of book events with a sequence number; write them in update mode. A book without a level is one row without one."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     return events.select(*COLUMNS, "seq").groupBy("symbol").applyInPandasWithState(lambda k, f, s: step(k, f, s, depth), SNAPSHOT, STATE, "update", GroupStateTimeout.NoTimeout)
+
+
+def latest(snapshots: DataFrame, *, batch: str = "batch") -> DataFrame:
+    """Of snapshots with the number of their batch, each symbol's last."""
+    last = snapshots.groupBy("symbol").agg(F.max(batch).alias(batch))
+    return snapshots.join(last, ["symbol", batch]).where("level is not null").drop(batch)
