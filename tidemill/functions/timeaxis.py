@@ -91,6 +91,13 @@ def tick_parts(tick: Column) -> Column:
     return F.when(F.length(s).between(7, 9) & s.rlike("^[0-9]+$"), F.struct(F.when(size >= 9, part(9, 2)).otherwise(F.substr(t, F.lit(1), size - 7).cast("int")).alias("hh"), part(7, 2).alias("mm"), part(5, 2).alias("ss"), part(3, 3).alias("mmm")))
 
 
+def combine_date_tick(day: Column, parts: Column, exchange: str = "CN") -> Column:
+    """Epoch microseconds of a local date and a struct of hours, minutes, seconds and, by the name `micros`, microseconds; null for parts that no clock shows."""
+    hh, mm, ss, us = (parts[x].cast("long") for x in ("hh", "mm", "ss", "micros"))
+    ok = hh.between(0, 23) & mm.between(0, 59) & ss.between(0, 59) & us.between(0, 999_999)
+    return F.when(ok, F.unix_date(day).cast("long") * DAY + hh * HOUR + mm * MINUTE + ss * 1_000_000 + us - offset_us(exchange))
+
+
 def base_day(trade_time: Column, exchange: str = "CN") -> Column:
     """Epoch microseconds of local midnight of a trade time's date."""
     return F.unix_date(extract_date(trade_time)).cast("long") * DAY - offset_us(exchange)

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.numeric import sum_before
 from tidemill.functions.timeaxis import MINUTE
 
 INITIAL_CASH = 1_000_000.0
@@ -50,15 +51,15 @@ def equity_curve(held: DataFrame, *, ts: str = "ts", price: str = "price", cash:
     """(ts, cash, equity) before the decision at each tick. Symbols are summed first; only one row a tick meets the running total."""
     ok = valid_price(F.col(price))
     ticks = held.groupBy(ts).agg(F.sum(F.when(F.col("delta") != 0, F.col("delta") * F.col(price)).otherwise(0.0)).alias("spent"), F.sum(F.when(ok & (F.col("prev_pos") != 0), F.col("prev_pos") * F.col(price)).otherwise(0.0)).alias("worth"))
-    before = Window.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-    left = F.lit(cash) - F.coalesce(F.sum("spent").over(before), F.lit(0.0))
-    return ticks.select(ts, left.alias("cash"), (left + F.col("worth")).alias("equity"))
+    left = F.lit(cash) - F.col("__before")
+    return sum_before(ticks, ts, "spent", "__before").select(ts, left.alias("cash"), (left + F.col("worth")).alias("equity"))
 
 
 def report(held: DataFrame, *, symbol: str = "symbol", ts: str = "ts", price: str = "price", cash: float = INITIAL_CASH) -> DataFrame:
     """(symbol, qty, final_cash): last positions, and the cash that all fills leave."""
     last = held.groupBy(symbol).agg(F.max_by("pos", ts).alias("qty"), F.sum(F.when(F.col("delta") != 0, F.col("delta") * F.col(price)).otherwise(0.0)).alias("spent"))
-    return last.select(symbol, "qty", (F.lit(cash) - F.sum("spent").over(Window.partitionBy(F.lit(1)))).alias("final_cash"))
+    spent = last.agg(F.sum("spent")).first()[0] or 0.0
+    return last.select(symbol, "qty", F.lit(cash - spent).alias("final_cash"))
 
 
 def replay(grid: DataFrame, decide: Callable[[int, dict, dict, float], dict], *, features: list[str], cash: float = INITIAL_CASH) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import PurePath
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.numeric import sum_before
 from tidemill.operators.features import finite
 
 
@@ -18,6 +20,21 @@ def training_set(features: DataFrame, labels: DataFrame, columns: Sequence[str],
     return both.dropna("any", subset=[*columns, label]) if drop_na else both
 
 
+def training_rows(df: DataFrame, columns: Sequence[str], label: str, *, keys: Sequence[str] = ("symbol", "ts"), drop_na: bool = True) -> DataFrame:
+    """The same of a table that has features and label beside each other: no join."""
+    rows = df.select(*keys, *[finite(F.col(c).cast("double")).alias(c) for c in [*columns, label]])
+    return rows.dropna("any", subset=[*columns, label]) if drop_na else rows
+
+
+def match_files(features: Sequence[str], labels: Sequence[str]) -> list[tuple[str, str]]:
+    """(feature file, label file) of equal names after `feature.` and `label.`; files without the other are left out, and nothing to match is a RuntimeError."""
+    rest = {PurePath(x).name.removeprefix("label."): x for x in labels if PurePath(x).name.startswith("label.")}
+    pairs = [(x, rest[n]) for x in sorted(features) if PurePath(x).name.startswith("feature.") and (n := PurePath(x).name.removeprefix("feature.")) in rest]
+    if not pairs:
+        raise RuntimeError("no feature file has a label file")
+    return pairs
+
+
 def serving_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Feature columns for scoring: what is missing, NaN or infinite is 0; columns that aren't there are 0 throughout."""
     return df.withColumns({c: F.coalesce(finite(F.col(c).cast("double")), F.lit(0.0)) if c in df.columns else F.lit(0.0) for c in columns})
@@ -56,7 +73,7 @@ def classification(df: DataFrame, *, label: str = "label", predicted: str = "pre
     y, p = F.col(label) == 1, F.col(predicted) == 1
     rows = df
     if score:
-        rows = rows.withColumn("__rank", average_rank(score, [*by]) if by else _global_rank(score))
+        rows = rows.withColumn("__rank", average_rank(score, [*by])) if by else global_rank(rows, score, "__rank")
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
     out = rows.groupBy(*by).agg(F.count("*").alias("n"), count(F.col(label) == F.col(predicted)).alias("ok"), count(y & p).alias("tp"), count(~y & p).alias("fp"), count(y & ~p).alias("fn"), count(y).alias("pos"), *([F.sum(F.when(y, F.col("__rank"))).alias("ranks")] if score else []))
     neg = F.col("n") - F.col("pos")
@@ -66,5 +83,14 @@ def classification(df: DataFrame, *, label: str = "label", predicted: str = "pre
     return out.select(*by, "n", *measures)
 
 
-def _global_rank(score: str) -> Column:
-    return F.rank().over(Window.orderBy(score)) + (F.count("*").over(Window.partitionBy(score)) - 1) / 2
+def global_rank(df: DataFrame, score: str, name: str) -> DataFrame:
+    """Adds the rank among all rows; equal scores share the mean of their ranks. Scores are counted first and summed part by part."""
+    counts = sum_before(df.groupBy(score).agg(F.count("*").alias("__n")), score, "__n", "__less")
+    return df.join(counts.select(score, (F.col("__less") + (F.col("__n") + 1) / 2).alias(name)), score, "left")
+
+
+def daily_reports(scored: DataFrame, *, by: Sequence[str] = ("update_day", "eval_day"), asof: str = "update_day", **names: str) -> DataFrame:
+    """A record a pair of days: both days, the model's day, and its measures as a struct. Days without rows to evaluate have none."""
+    measures = classification(scored, by=by, **names)
+    inner = [c for c in measures.columns if c not in by]
+    return measures.select(*by, F.col(asof).alias("model_asof_day"), F.struct(*inner).alias("metrics"))

@@ -79,6 +79,14 @@ def parse_events(raw: DataFrame, exchange: str, kind: str, *, keep: Sequence[str
     )
 
 
+def row_events(df: DataFrame, *, event: str = "fact_dir") -> DataFrame:
+    """Rows of a vendor table as events: every column in the event's type, the event's name taken from `event`, and a side that is NaN or null as null."""
+    kind = df.schema["side"].dataType.simpleString()
+    side = F.when(~F.isnan("side"), F.col("side").cast("string")) if kind in ("double", "float") else F.col("side").cast("string")
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT.fields if f.name not in ("event", "side")]
+    return df.select(F.col(event).cast("string").alias("event"), side.alias("side"), *typed).select(*EVENT.names)
+
+
 def a_shares(df: DataFrame, symbol: str = "symbol", prefixes: Sequence[str] = A_SHARES) -> DataFrame:
     """Rows whose symbol begins with one of `prefixes`; a filter that reaches the scan."""
     test = F.lit(False)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 
@@ -77,3 +77,24 @@ def _some(batches):
 
     first = next(batches, None)
     return None if first is None else itertools.chain([first], batches)
+
+
+def walk_forward(rows: DataFrame, day: str, features: Sequence[str], label: str, *, train: Callable[..., State] | None = None, **rates: float) -> tuple[DataFrame, State | None]:
+    """(update_day, eval_day, pred, y): each row scored by the model that all days before its own made, learned day by day; and the last model.
+
+    Learning is a fold over days; of each day's model only the weights come to the driver. All rows are then scored in one plan, joined with
+    one row of weights a day. A table in folders of `day` is read a day at a time. With fewer than two days there are no rows and no model.
+    """
+    train = train or (lambda df, features, label, state, **o: train_day(df, label, state or State(list(features)), **o))
+    days = [r[0] for r in rows.select(day).distinct().orderBy(day).collect()]
+    state, models = None, []
+    for before, after in zip(days, days[1:]):  # noqa: B905
+        state = train(rows.where(F.col(day) == before), features, label, state, **rates)
+        models.append((before, after, state.weights, float(state.intercept)))
+    kind = rows.schema[day].dataType.simpleString()
+    weights = rows.sparkSession.createDataFrame(models, f"__before {kind}, {day} {kind}, __w array<double>, __b double")
+    total = F.col("__b")
+    for k, name in enumerate(features):
+        total = total + F.coalesce(F.col(name).cast("double"), F.lit(0.0)) * F.col("__w")[k]
+    pred = 1 / (1 + F.exp(-total)) if state and state.task != "regression" else total
+    return rows.join(weights, day).select(F.col("__before").cast("string").alias("update_day"), F.col(day).cast("string").alias("eval_day"), pred.alias("pred"), F.col(label).alias("y")), state

@@ -329,10 +329,13 @@ def triple_barrier(spark: SparkSession, sf: str) -> DataFrame:
 _TRAIN = f"""{_IN}, y AS (SELECT *, {_LEAD.format(n=1)} / nullif(close, 0) - 1 AS label, {_L1['l1_log_return'][1]} AS ret FROM x WINDOW w AS (PARTITION BY symbol ORDER BY ts))"""
 
 
-def _train(spark: SparkSession, sf: str) -> DataFrame:
+_TRAIN_COLUMNS = ["close", "l0_range", "ret"]
+
+
+def _train(spark: SparkSession, sf: str, keys: tuple[str, ...] = ("symbol", "ts")) -> DataFrame:
+    """Features and labels of the same bars, which are made once."""
     f = ft.l1_statistics(ft.l0(day_bars(spark, sf)), WINDOW).withColumnRenamed(f"l1_ret_w{WINDOW}_1", "ret")
-    y = lb.forward_return(day_bars(spark, sf), 1, name="label")
-    return ds.training_set(f.withColumn("day", F.col("trade_date")), y, ["close", "l0_range", "ret"], "label", keys=["symbol", "ts"])
+    return ds.training_rows(lb.forward_return(f, 1, name="label"), _TRAIN_COLUMNS, "label", keys=keys)
 
 
 @query(f"{_TRAIN} SELECT symbol, ts, close, {sql_round('l0_range', 'l0_range')}, {sql_round('ret', 'ret')}, {sql_round('label', 'label')} FROM y WHERE label IS NOT NULL AND isfinite(ret) AND isfinite(label)")
@@ -340,6 +343,13 @@ def train_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_train(spark, sf))
 
 
+@query(f"{_TRAIN} SELECT symbol, ts, close, {sql_round('l0_range', 'l0_range')}, {sql_round('ret', 'ret')}, {sql_round('label', 'label')} FROM y WHERE label IS NOT NULL AND isfinite(ret) AND isfinite(label)")
+def feature_label_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from two tables, joined by key."""
+    f = ft.l1_statistics(ft.l0(day_bars(spark, sf)), WINDOW).withColumnRenamed(f"l1_ret_w{WINDOW}_1", "ret")
+    return rounded(ds.training_set(f, lb.forward_return(day_bars(spark, sf), 1, name="label"), _TRAIN_COLUMNS, "label"))
+
+
 @query("""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) SELECT strftime(day, '%Y-%m-%d') AS update_day, strftime(lead(day) OVER (ORDER BY day), '%Y-%m-%d') AS eval_day FROM d QUALIFY lead(day) OVER (ORDER BY day) IS NOT NULL""")
 def walk_forward_pairs(spark: SparkSession, sf: str) -> DataFrame:
     days = table(spark, sf, "events").select(F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("day")).distinct()
@@ -417,9 +427,9 @@ def book_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(name="book_fold")
 def book_fold(spark: SparkSession, sf: str) -> DataFrame:
-    """The state machine on a feed that the relational form can't do: small orders that trades overfill."""
+    """The state machine on a feed that the relational form can't do: small orders that trades overfill. Events of one time have an order of their own."""
     feed = book_feed(spark, sf)
-    return ob.fold(feed.withColumn("volume", F.when(F.col("event") == "ADD", 60).otherwise(F.col("volume"))))
+    return ob.fold(feed.withColumn("volume", F.when(F.col("event") == "ADD", 60).otherwise(F.col("volume"))), seq=("ts", "seq", "order_id", "event", "volume"))
 
 
 # --- evaluation ------------------------------------------------------------
@@ -516,16 +526,10 @@ def backtest_report(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def sgd_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
     """Online regression day by day, each day's model judged on the next: one row an evaluated day."""
-    rows = _train(spark, sf).join(day_bars(spark, sf).select("symbol", "ts", "trade_date"), ["symbol", "ts"]).withColumn("close", F.col("close") / 100).cache()
-    days = [r.trade_date for r in rows.select("trade_date").distinct().orderBy("trade_date").collect()]
-    state, out = sgd.State(["close", "l0_range", "ret"]), None
-    for day, after in zip(days, days[1:]):  # noqa: B905
-        state = sgd.train_day(rows.where(F.col("trade_date") == day), "label", state, eta0=1e-5)
-        part = rows.where(F.col("trade_date") == after).select(F.lit(str(day)).alias("update_day"), F.lit(str(after)).alias("eval_day"), state.score().alias("pred"), F.col("label").alias("y"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "update_day string, eval_day string, rank_ic double, n long")
-    return ds.rank_ic(out, by=["update_day", "eval_day"])
+    path = scratch(spark)
+    _train(spark, sf, ("symbol", "ts", "trade_date")).withColumn("close", F.col("close") / 100).write.partitionBy("trade_date").parquet(path)
+    rows = spark.read.parquet(path)
+    return ds.rank_ic(sgd.walk_forward(rows, "trade_date", _TRAIN_COLUMNS, "label", eta0=1e-5)[0], by=["update_day", "eval_day"])
 
 
 # --- calendar, samples -----------------------------------------------------
@@ -613,4 +617,6 @@ def stream_book(spark: SparkSession, sf: str) -> DataFrame:
     return latest(spark.read.parquet(out))
 
 
+from tidemill.plans import more  # noqa: E402, F401 - registers its queries
+
 __all__ = ["BAR", "ORACLE_SQL", "QUERIES", "Window"]

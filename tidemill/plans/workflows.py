@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from tidemill.operators.features import feature_chain
 from tidemill.operators.labels import forward_return
 from tidemill.operators.models import Artifact, inference, resolve_artifact, trainer
 from tidemill.operators.parse import a_shares, clean_tokens, parse_events
-from tidemill.operators.sgd import State
+from tidemill.operators.sgd import State, walk_forward
 from tidemill.sources import files
-from tidemill.sources.manifest import promote
+from tidemill.sources.manifest import Manifest, promote
 
 
 @dataclass(frozen=True)
@@ -61,26 +62,42 @@ def features_and_labels(bars: DataFrame, settings: Settings = Settings()) -> tup
     return feature_chain(bars, settings.window, by=day), forward_return(bars, settings.steps, by=day)
 
 
-def run_data(feeds: Mapping[tuple[str, str], DataFrame], out: str, settings: Settings = Settings()) -> dict[str, str]:
-    """Writes bars, features and labels in folders of trade_date; returns their paths."""
+def local_files(df: DataFrame) -> list[str]:
+    """Files that a table is read from, as paths of this machine; none if it has none or some are elsewhere."""
+    found = [unquote(x.removeprefix("file://")) for x in df.inputFiles()]
+    return found if all(x.startswith("/") for x in found) else []
+
+
+def run_data(feeds: Mapping[tuple[str, str], DataFrame], out: str, settings: Settings = Settings(), manifests: str | None = None) -> dict[str, str]:
+    """Writes bars, features and labels in folders of trade_date; returns their paths.
+
+    With a folder of `manifests` a step whose input is as it was, and whose output is still there, isn't run again; features and labels
+    go by the bars, bars by the feeds' files. What has no files runs each time.
+    """
     paths = {n: f"{out}/{n}" for n in ("min", "feature", "label")}
-    events = events_of(feeds)
-    files.write(bars_of(events, settings), paths["min"], by=["trade_date"], order=["symbol", "ts"])
-    bars = files.read(events.sparkSession, paths["min"])
-    for name, df in zip(("feature", "label"), features_and_labels(bars, settings), strict=True):
-        files.write(df, paths[name], by=["trade_date"], order=["symbol", "ts"])
+    spark = next(iter(feeds.values())).sparkSession if feeds else None
+
+    def made(name: str, sources: list[str], make: Callable[[], DataFrame]) -> None:
+        mark = Manifest(manifests, "data", f"{name}.w{settings.window}.s{settings.steps}.{'t' if settings.trades_only else 'a'}", strict=True) if manifests and sources else None
+        if mark and not mark.changed(sources):
+            return
+        files.write(make(), paths[name], by=["trade_date"], order=["symbol", "ts"])
+        if mark:
+            mark.commit(sources, paths[name], files.read(spark, paths[name]).count())
+
+    raw = sorted({f for (_, kind), df in feeds.items() if kind == "trade" for f in local_files(df)})
+    made("min", raw, lambda: bars_of(events_of(feeds), settings))
+    bars = files.read(spark, paths["min"])
+    features, labels = features_and_labels(bars, settings)
+    for name, df in (("feature", features), ("label", labels)):
+        made(name, local_files(bars), lambda df=df: df)
     return paths
 
 
 def run_training(spark: SparkSession, out: str, folder: str | Path, settings: Settings = Settings()) -> tuple[State, DataFrame]:
     """Day by day: learn from a day, judge on the next. The state after the last update is saved; every evaluated day has its rank IC."""
     rows = training_set(files.read(spark, f"{out}/feature"), files.read(spark, f"{out}/label"), list(settings.features), settings.label, keys=["symbol", "ts", "trade_date"])
-    days = [r.trade_date for r in rows.select("trade_date").distinct().orderBy("trade_date").collect()]
-    state, scored = None, None
-    for day, after in zip(days, days[1:]):  # noqa: B905
-        state = trainer(*settings.trainer)(rows.where(F.col("trade_date") == day), settings.features, settings.label, state, **settings.rates)
-        part = rows.where(F.col("trade_date") == after).select(F.lit(str(day)).alias("update_day"), F.lit(str(after)).alias("eval_day"), state.score().alias("pred"), F.col(settings.label).alias("y"))
-        scored = part if scored is None else scored.unionByName(part)
+    scored, state = walk_forward(rows, "trade_date", settings.features, settings.label, train=trainer(*settings.trainer), **settings.rates)
     if state is None:
         raise RuntimeError("training takes two days at least")
     state.save(folder)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import shutil
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 from pathlib import Path
@@ -51,13 +51,17 @@ class Manifest:
     def path(self) -> Path:
         return Path(self.folder) / f"{self.stage}.{self.slot}.manifest.json"
 
-    def _print(self, path: str | Path) -> dict[str, Any]:
+    def _print(self, path: str | Path | Sequence[str]) -> dict[str, Any]:
+        """Of a file or tree, or of several files: their sizes one by one, so that none stands in for another."""
+        if not isinstance(path, str | Path):
+            each = [self._print(x) for x in sorted(path)]
+            return {"file": [x["file"] for x in each], "size": [x["size"] for x in each]} | ({"mtime": [x.get("mtime") for x in each]} if self.strict else {})
         out: dict[str, Any] = {"file": str(path), "size": size_of(path)}
         if self.strict and Path(path).exists():
             out["mtime"] = Path(path).stat().st_mtime_ns
         return out
 
-    def commit(self, source: str | Path, output: str | Path, rows: int, index: Mapping[str, tuple[int, int]] | None = None) -> dict[str, Any]:
+    def commit(self, source: str | Path | Sequence[str], output: str | Path, rows: int, index: Mapping[str, tuple[int, int]] | None = None) -> dict[str, Any]:
         doc = {"version": VERSION, "stage": self.stage, "created_at": datetime.now(UTC).isoformat(), "upstream": self._print(source), "output": self._print(output) | {"rows": rows}}
         if index is not None:
             doc["index"] = {"type": "symbol_slice", "slices": {k: list(v) for k, v in index.items()}}
@@ -67,7 +71,7 @@ class Manifest:
     def load(self) -> dict[str, Any] | None:
         return json.loads(self.path.read_text()) if self.path.exists() else None
 
-    def changed(self, source: str | Path) -> bool:
+    def changed(self, source: str | Path | Sequence[str]) -> bool:
         """Whether the stage has to run: no manifest, another source, or an output that is gone or altered."""
         doc = self.load()
         if doc is None:
