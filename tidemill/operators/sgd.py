@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.sources.scratch import send
+
 
 @dataclass
 class State:
@@ -61,6 +63,7 @@ def pass_over(x: np.ndarray, y: np.ndarray, state: State, *, alpha: float = 5e-4
 def train_day(df: DataFrame, label: str, state: State, *, order: Sequence[str] = ("ts", "symbol"), **rates: float) -> State:
     """`state` after one pass over a day's rows, in a fixed order, in one task: the fold is sequential by definition. Only the weights return."""
     columns = [*state.features, label]
+    send(df.sparkSession)
 
     def run(batches):
         rows = pd.concat(list(batches), ignore_index=True).sort_values(list(order), kind="stable")

@@ -1,10 +1,12 @@
-"""Folders that driver and executors share, for what a query writes and reads again."""
+"""What driver and executors share: a folder for what a query writes and reads again, and this package."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,3 +28,17 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def send(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once for each application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemill_sent", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    name = f"{tempfile.mkdtemp(prefix='tidemill-')}/tidemill_package.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted((root / "tidemill").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(name)
+    sc._tidemill_sent = True

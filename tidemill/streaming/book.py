@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.orderbook import COLUMNS, Book
 from tidemill.schemas import SNAPSHOT
+from tidemill.sources.scratch import send
 
 STATE = "book string"
 
@@ -47,6 +48,7 @@ def stream_book(events: DataFrame, *, depth: int = 10) -> DataFrame:
     """Snapshots of a stream of book events with a sequence number; write them in update mode. A book without a level is one row without one."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    send(events.sparkSession)
     return events.select(*COLUMNS, "seq").groupBy("symbol").applyInPandasWithState(lambda k, f, s: step(k, f, s, depth), SNAPSHOT, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
