@@ -4,13 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
-import re
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.sources.scratch import remove, scratch, send
+
 #: Bytes of text that one vectorised step looks at; one longer document is a step of its own.
 CHUNK_BYTES = 1 << 20
 
@@ -40,31 +38,10 @@ FOLD[65:91] += 32
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python, once for each application, and hold Arrow batches of long texts to a few MB."""
-    sc = spark.sparkContext
     most = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(most, "4m").rstrip("b") == str(64 << 20):  # as it comes, not as somebody has set it
         spark.conf.set(most, "4m")
-    if getattr(sc, "_tidemill_sent", False):
-        return
-    root = Path(__file__).resolve().parents[2]
-    name = f"{tempfile.mkdtemp(prefix='tidemill-')}/tidemill_package.zip"
-    with zipfile.ZipFile(name, "w") as z:
-        for f in sorted((root / "tidemill").rglob("*.py")):
-            z.write(f, f.relative_to(root))
-    sc.addPyFile(name)
-    sc._tidemill_sent = True
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset one of our own will do on a single machine, and a cluster is an error."""
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        if not re.fullmatch(r"local(\[[^-\]]*\])?", sc.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="tidemill-")
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
+    send(spark)
 
 
 @contextmanager
@@ -79,11 +56,6 @@ def _released(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def new_path(spark: SparkSession, name: str = "") -> str:
-    """A path of its own in the shared folder."""
-    return f"{shared_dir(spark)}/tidemill/{name}{uuid.uuid4().hex}"
-
-
 def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write `df` as a table in the shared folder and read it again: lineage ends here, and lost executors cost no recompute.
 
@@ -91,7 +63,7 @@ def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
     memory for each file. `drop` deletes what no result needs any more.
     """
     spark = df.sparkSession
-    path = new_path(spark)
+    path = scratch(spark)
     with _released(spark):
         df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -105,7 +77,7 @@ def dealt(df: DataFrame, column: str, buckets: int, once: bool = False) -> DataF
     once: one row for each value. The table is known to the session's catalogue only until its plan is made; `drop` deletes its files.
     """
     spark = df.sparkSession
-    path = new_path(spark)
+    path = scratch(spark)
     name = f"tidemill_{uuid.uuid4().hex}"
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
     buckets = min(most, max(buckets, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
@@ -123,14 +95,7 @@ def drop(*tables: DataFrame) -> None:
     """Delete tables that `cut` made and that no lazy result reads."""
     for df in tables:
         if path := df.__dict__.pop("_tidemill_path", None):
-            delete(df.sparkSession, path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a path through Spark's own file systems."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            remove(df.sparkSession, path)
 
 
 def crc_fold(key: Column, folds: int) -> Column:

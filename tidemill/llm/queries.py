@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.sources.scratch import scratch
+
 BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -85,12 +87,9 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
-    from tidemill.llm.common import shared_dir
     from tidemill.llm.warc import page_number, page_records, read_warc, write_warc
 
-    path = f"{shared_dir(spark)}/tidemill/warc-{uuid.uuid4().hex}"
+    path = scratch(spark)
     write_warc(page_records(table(spark, sf_dir, "pages")), path)
     back = read_warc(spark, path).where(F.col("record_type").isin("response", "revisit"))
     whole = F.col("record_type") == "response"  # a revisit's payload is told by its headers
