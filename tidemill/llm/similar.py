@@ -165,9 +165,10 @@ def similar_groups(rows: DataFrame, *, text: str = "text", width: int = 5, perce
     drop(entries)
     found = _alike(tested, nodes, percent)
     roots = smallest_reachable(found)
+    drop(found)
     # what is left: buckets of several components
     rooted = cut(weighed.select("k", "node").join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root")), codec="snappy")
-    drop(weighed, roots)
+    drop(weighed)
     mixed = rooted.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("k")
     shown = rooted.join(mixed.hint("merge"), "k", "left_semi").join(nodes.select("node", "size", "digits"), "node")
     # sets of like length are of one class, or of two that follow each other
@@ -178,7 +179,21 @@ def similar_groups(rows: DataFrame, *, text: str = "text", width: int = 5, perce
     cross = left.join(right.hint("merge"), (left.k == right.k) & (left.c == right.c) & F.expr(once) & (_same_digits("a_digits", "b_digits") >= ALIKE)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     cross = cut(_ordered(cross).join(tested, ["a", "b"], "left_anti"), codec="snappy")
     drop(rooted, shown, tested)
-    more = _alike(cross, nodes, percent)
-    out = smallest_reachable(found.unionByName(more))
-    drop(cross, found, more, nodes)
-    return out.withColumnRenamed("root", "group")
+    if not cross.isEmpty():
+        more = _alike(cross, nodes, percent)
+        if not more.isEmpty():
+            roots = _joined(roots, more)
+        drop(more)
+    drop(cross, nodes)
+    return roots.withColumnRenamed("root", "group")
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """The components when further links come: these are links of components, of which there are few."""
+    fresh = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots, "node", "left_anti").withColumn("root", F.col("node"))
+    every = cut(roots.unionByName(fresh), codec="snappy")
+    one, other = (every.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab")
+    top = smallest_reachable(more.join(one, "a").join(other, "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+    out = cut(every.join(top.select(F.col("node").alias("root"), F.col("root").alias("least")), "root", "left").select("node", F.coalesce("least", "root").alias("root")), codec="snappy")
+    drop(roots, every, top)
+    return out
