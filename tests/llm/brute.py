@@ -69,6 +69,22 @@ def components(prints, most=2):
     return {d: find(d) for d in ids}
 
 
+def similar(docs, width=5):
+    """doc_id -> smallest id reachable by pairs of Jaccard similarity 0.8 or more of word shingles, from doc_id -> text."""
+    ids, grams = sorted(docs), {}
+    for d in ids:
+        w = [x for x in re.split("[\x20\x09-\x0d]+", low(docs[d])) if x]
+        grams[d] = {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))}
+    root = {d: d for d in ids}
+    for n, b in enumerate(ids):
+        for a in ids[:n]:
+            x, y = grams[a], grams[b]
+            if root[a] != root[b] and 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * len(x & y) >= 4 * len(x | y):
+                one, other = sorted((root[a], root[b]))
+                root = {d: one if r == other else r for d, r in root.items()}
+    return root
+
+
 def substring(docs, window=13):
     """doc_id -> (words, removed places), from doc_id -> text."""
     words = {d: WORDS.findall(t or "") for d, t in docs.items()}

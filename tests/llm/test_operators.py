@@ -185,14 +185,72 @@ def test_quality_edges(spark, docs):
     assert score(docs.limit(0), nothing).count() == 0
 
 
+def plain_statistics(t):
+    """The fourteen statistics of a text, word by word."""
+    import re
+
+    raw = (t or "").encode()
+    words = [w for w in re.split(rb"[\x20\x09-\x0d]+", raw) if w]
+    n, size = len(words), len(raw)
+    count = lambda chars: sum(raw.count(bytes([c])) for c in chars)
+    again = lambda d: [k >= d and words[k] == words[k - d] for k in range(n)]
+    share = lambda x, of: math.sqrt(min(x / of, 4))
+    some, many = size + 48, n + 8
+    near = [any(x) for x in zip(*(again(d) for d in (1, 2, 3, 4)), strict=True)]
+    return [
+        math.log1p(n),
+        math.log1p((sum(map(len, words)) + 48) / many),
+        share(count(range(65, 91)), some),
+        share(count(b"#$%&*+/<=>@\\^_`{}~[]"), some),
+        share(count(b"|"), many),
+        share(count(b"!?"), many),
+        share(count(b".,;:"), many),
+        share(count(b"0123456789"), some),
+        share(count(b"\n"), many),
+        share(sum(again(1)), many),
+        share(sum(near), many),
+        share(sum(len(w) > 24 for w in words), many),
+        share(sum(b >= 128 for b in raw), some),
+        math.log1p(len(set(words))) / math.log1p(n) if n else 1.0,
+    ]
+
+
+def test_quality_is_the_plain_one(spark, docs):
+    """Statistics, class moments, shrinkage and densities written out."""
+    from tidemill.llm.quality import fit, score
+
+    sf = SF
+    real_docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = real_docs.select("doc_id", "text").unionByName(docs.where("doc_id < 18").select((F.col("doc_id") + 1_000_000).alias("doc_id"), "text"))
+    texts, label = by_id(rows), {r.doc_id: r.quality for r in labels.collect()}
+    x = {d: np.array(plain_statistics(t)) for d, t in texts.items()}
+    own = [np.array([x[d] for d in sorted(x) if label.get(d) == c and brute.crc(d, 5)]) for c in (0, 1)]
+    count, d = np.array([len(o) for o in own]), 14
+    scatter = [(o - o.mean(axis=0)).T @ (o - o.mean(axis=0)) for o in own]
+    pooled = (scatter[0] + scatter[1]) / (count.sum() - 2)
+    density = {}
+    for c in (0, 1):
+        weight = count[c] / (count[c] + d)
+        cov = 0.95 * (weight * scatter[c] / (count[c] - 1) + (1 - weight) * pooled) + 0.05 * pooled + 0.02 * np.diag(np.maximum(np.diag(pooled), 1e-6))
+        inverse, (_, log_det) = np.linalg.inv(cov), np.linalg.slogdet(cov)
+        for k, v in x.items():
+            away = v - own[c].mean(axis=0)
+            density[k, c] = math.log((count[c] + 1) / (count.sum() + 2)) - 0.5 * (away @ inverse @ away + log_det)
+    out = as_dict(score(rows, fit(rows, labels)))
+    for k in x:
+        want = 1 / (1 + math.exp(min(700, density[k, 0] - density[k, 1])))
+        assert out[k].score == pytest.approx(want, rel=1e-6, abs=1e-12) and out[k].predicted == (out[k].score >= 0.3), k
+
+
 # --- language model --------------------------------------------------------
 
 
-@pytest.mark.parametrize("depth", [1, 3])
+@pytest.mark.parametrize("depth", [1, 3, 5])
 def test_context_tree_is_the_plain_one(spark, docs, depth):
+    """At the query's depth too, with the very long texts among them."""
     from tidemill.llm.context_tree import score
 
-    some = docs.where("doc_id not in (10, 11)")
+    some = docs if depth == 5 else docs.where("doc_id not in (10, 11)")
     texts = by_id(some)
     out = as_dict(score(some, depth=depth))
     plain = brute.unigram(texts)
@@ -264,6 +322,28 @@ def test_byte_bpe(spark, docs, real):
         decode(spark.createDataFrame([(1, [999999])], "doc_id long, ids array<int>"), path).collect()
 
 
+def test_tokenizers_take_repeats_and_any_columns(spark, docs):
+    import public_tokenizers
+
+    from tidemill.llm.byte_bpe import encode
+    from tidemill.llm.token_counts import token_counts
+
+    rows = docs.where("doc_id < 9").withColumns({"n_tokens": F.lit("mine"), "IDS": F.lit("mine"), "decoded": F.lit(1)})
+    twice = rows.unionByName(rows)
+    counts = token_counts(twice, public_tokenizers.path("word_bpe_49k.json"), carry=["doc_id", "n_tokens", "text"]).collect()
+    assert len(counts) == 18 and all(isinstance(r.n_tokens, int) for r in counts) and len({(r.doc_id, r.n_tokens) for r in counts}) == 9
+    coded = encode(twice, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, carry=["doc_id", "decoded", "text"]).collect()
+    assert len(coded) == 18 and all(bytes(r.decoded).decode() == (r.text or "") for r in coded)
+
+
+def test_ids_of_any_size():
+    from tidemill.llm.bpe import SHIFT, merged
+
+    big = 1 << 21
+    made = {0: big + 7}
+    assert merged([1, big, 1, 1], {1 << SHIFT | big: 0}.get, made) == [big + 7, 1, 1]
+
+
 def test_perfect_hash():
     from tidemill.llm.byte_bpe import PerfectHash
 

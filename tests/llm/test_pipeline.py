@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -19,7 +20,7 @@ def test_pipeline_is_the_plain_one(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     kept = {r.doc_id: r.text for r in score(source, fit(source, labels), carry=["doc_id", "text"]).where("predicted = 1").collect()}
     assert 0 < len(kept) < source.count()
-    groups = brute.components({d: brute.simhash(t) for d, t in kept.items()})
+    groups = brute.similar(kept)
     kept = {d: t for d, t in kept.items() if groups[d] == d}
     cut = brute.substring(kept)
     kept = {d: t if not cut[d][1] else " ".join(w for k, w in enumerate(cut[d][0]) if k not in cut[d][1]) for d, t in kept.items()}
@@ -42,6 +43,35 @@ def test_stages_keep_the_columns(spark):
         assert [(f.name, f.dataType) for f in docs.schema] == [(f.name, f.dataType) for f in spark.read.parquet(f"{SF}/documents.parquet").schema]
 
 
+ODD = "score string, N_WORDS int, predicted string, kept string, item_ids string, `Hit.Spans` int, __row string, node string"
+
+
+def test_stages_take_any_columns_and_rows(spark):
+    """Columns named as what operators add, in any case; no n_chars; nulls, blanks, repeated rows and ids, very long texts."""
+    good = " ".join(r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 300").orderBy("doc_id").limit(3).collect())
+    rows = [(1, good), (2, good + " and more"), (2, good + " and more"), (None, good), (None, None), (3, None), (4, ""), (5, " \n "), (6, " ".join(f"w{k}" for k in range(30_000))), (7, "short")]
+    odd = ("s", 7, "p", "k", "i", 3, "r", "n")
+    docs = spark.createDataFrame([(d, t, *odd) for d, t in rows], f"doc_id long, text string, {ODD}").repartition(3)
+    schema = [(f.name, f.dataType) for f in docs.schema]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert [(f.name, f.dataType) for f in out.schema] == schema, name
+        got = out.collect()
+        assert all(tuple(r)[2:] == odd for r in got), name
+        if name == "substring dedup":
+            texts = sorted(((r.doc_id, r.text) for r in got), key=str)
+            assert len(got) == len(rows) and texts.count((2, "and more")) == 2 and (3, None) in texts and (5, " \n ") in texts
+            assert sum(r.doc_id is None and r.text == "" for r in got) == 1
+        if name == "SimHash near-dedup":
+            assert sorted((r.doc_id, (r.text or "").strip()[:5]) for r in got) == [(1, good[:5]), (3, ""), (6, "w0 w1"), (7, "short")]
+        if name == "benchmark decontamination":
+            assert len(got) == len(rows)
+    upper = docs.select("doc_id", "text").toDF("DOC_ID", "Text").withColumn("N_CHARS", F.length("Text"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, upper, SF).columns == ["DOC_ID", "Text", "N_CHARS"]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == len(rows)
+
+
 def test_near_dedup_by_similarity(spark):
     from tidemill.llm.stages import near_dedup
 
