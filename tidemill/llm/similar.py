@@ -7,14 +7,14 @@ shingle sets verify all that is proposed.
 
 In each bucket all nodes are first compared with its hub, the node whose buckets are the fullest: of a text and its edited copies it is mostly the
 text that all were made from. Buckets whose nodes are then of one component are done, which takes a large group of near copies at a few
-comparisons a node. In the others, nodes of different components and of like length are compared, first by four bits of each of their
-minima, which all but a few in a million of similar pairs pass, and then whole. Nothing is dropped.
+comparisons a node. In the others, nodes of different components and of like length are compared where they meet, by a bit of each of 2048
+minima, which all but a few in a million of similar pairs pass; only what passes leaves the bucket and is compared whole. Nothing is dropped.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import FOLD, NON_SPACE, cut, dealt, drop, gram_hashes, map_texts, mix, running, shards, spans, word_hashes
+from tidemill.llm.common import FOLD, NON_SPACE, cut, dealt, drop, gram_hashes, map_texts, mix, running, shards, spans, trim, word_hashes
 from tidemill.llm.graph import smallest_reachable
 from tidemill.llm.simhash import fingerprint, links
 
 BANDS, ROWS = 30, 5
 #: Longs of 16 small digits each, of which the last ten are spare and always equal; of 160 that many are equal at a similarity of 0.8, less 4.6 deviations.
 DIGITS, ALIKE = 10, 110
+#: Longs of single bits, for nodes that are compared with many; of 2048 that many are equal at 0.8, less 4.6 deviations.
+BITS, CLOSE = 32, 1780
 
 
 def nodes_of(docs: DataFrame, *, text: str = "text", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -121,6 +123,27 @@ def _same_digits(x: str, y: str) -> Column:
     return F.expr(f"{16 * DIGITS} - ({' + '.join(each)})")
 
 
+def close_bits(sets: DataFrame) -> DataFrame:
+    """(node, bits) of (node, grams): one bit of each of 2048 minima."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = mix(np.arange(1, 128 * BITS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        times, plus = seeds[: 64 * BITS] | np.uint64(1), seeds[64 * BITS :]
+        for b in batches:
+            out = []
+            for grams in b.column(1):
+                own = mix(grams.values.to_numpy().view(np.uint32).astype(np.uint64))
+                least = np.empty(64 * BITS, np.uint64)
+                step = max(1, (1 << 20) // max(1, len(own)))
+                for k in range(0, 64 * BITS, step):
+                    least[k : k + step] = (own[:, None] * times[None, k : k + step] + plus[None, k : k + step]).min(axis=0)
+                out.append(np.packbits(mix(least) >> np.uint64(63) > 0).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "bits"])
+        trim()
+
+    return sets.select("node", "grams").mapInArrow(run, "node long, bits array<long>")
+
+
 def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have that similarity or more; `nodes` lie in buckets, so only pairs and one set of each move."""
     for n, columns in (("a", ("size", "digits")), ("b", ("size", "digits"))):
@@ -170,15 +193,19 @@ def similar_groups(rows: DataFrame, *, text: str = "text", width: int = 5, perce
     rooted = cut(weighed.select("k", "node").join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root")), codec="snappy")
     drop(weighed)
     mixed = rooted.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("k")
-    shown = rooted.join(mixed.hint("merge"), "k", "left_semi").join(nodes.select("node", "size", "digits"), "node")
+    shown = cut(rooted.join(mixed.hint("merge"), "k", "left_semi"), codec="snappy")
+    drop(rooted)
+    bits = cut(close_bits(nodes.select("node", "grams").join(shown.select("node").distinct().hint("merge"), "node", "left_semi")))
+    shown, some = shown.join(bits.hint("merge"), "node").join(nodes.select("node", "size"), "node"), [shown, bits]
     # sets of like length are of one class, or of two that follow each other
     shown = cut(shown.withColumn("c", F.floor(F.log("size") / F.log(F.lit(100 / percent) * (1 + 1e-9))).cast("int")), codec="snappy")
-    left = shown.select("k", "c", *[F.col(x).alias(f"a_{x}") for x in ("node", "root", "size", "digits", "c")])
-    right = shown.select("k", F.explode(F.array("c", F.col("c") - 1)).alias("c"), *[F.col(x).alias(f"b_{x}") for x in ("node", "root", "size", "digits", "c")])
+    left = shown.select("k", "c", *[F.col(x).alias(f"a_{x}") for x in ("node", "root", "size", "bits", "c")])
+    right = shown.select("k", F.explode(F.array("c", F.col("c") - 1)).alias("c"), *[F.col(x).alias(f"b_{x}") for x in ("node", "root", "size", "bits", "c")])
     once = f"a_root <> b_root and (a_c < b_c or a_node < b_node) and 100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size)"
-    cross = left.join(right.hint("merge"), (left.k == right.k) & (left.c == right.c) & F.expr(once) & (_same_digits("a_digits", "b_digits") >= ALIKE)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    close = " + ".join(f"bit_count(a_bits[{i}] ^ b_bits[{i}])" for i in range(BITS))
+    cross = left.join(right.hint("merge"), (left.k == right.k) & (left.c == right.c) & F.expr(f"{once} and {64 * BITS} - ({close}) >= {CLOSE}")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     cross = cut(_ordered(cross).join(tested, ["a", "b"], "left_anti"), codec="snappy")
-    drop(rooted, shown, tested)
+    drop(shown, *some, tested)
     if not cross.isEmpty():
         more = _alike(cross, nodes, percent)
         if not more.isEmpty():
