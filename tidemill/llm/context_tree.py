@@ -44,18 +44,23 @@ def log_kt(zeros: Column, ones: Column) -> Column:
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - math.log(math.pi) - log_gamma(a + b + 1)
 
 
-def gram_scores(grams: DataFrame, depth: int) -> tuple[DataFrame, list[DataFrame]]:
-    """(gram, score): log10 of the probability of a gram's last byte after the others; and the tables that this reads.
+def _high(gram: Column) -> Column:
+    """A gram's context: all but its last byte."""
+    return gram - gram.bitwiseAND(F.lit(255))
 
-    grams: (gram, n), n its count in training, 0 if only scored.
+
+def context_models(grams: DataFrame, depth: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(high, p): for each context of `depth` bytes the probability of a one at each node of the next byte's decomposition that occurs; and the tables that this reads.
+
+    grams: (gram, n), n its count in training, 0 if only scored. Grams are dealt by their context before they are split into eight decisions,
+    which then are summed where they are; a context has at most 255 nodes.
     """
     i = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i")
-    node = F.expr("shiftleft(1L, i) + shiftright(gram & 255, 8 - i)")
-    split = grams.select("gram", "n", i).select("gram", "n", F.expr("gram - (gram & 255)").alias("high"), node.alias("node"), F.expr("shiftright(gram & 255, 7 - i) & 1").alias("bit"))
-    split = split.select("gram", "n", (F.col("high") + F.col("node")).alias("key"), "bit")
+    split = grams.select(_high(F.col("gram")).alias("high"), "gram", "n").repartition("high").select("high", "gram", "n", i)
+    split = split.select("high", "n", F.expr("shiftleft(1L, i) + shiftright(gram & 255, 8 - i)").alias("node"), F.expr("shiftright(gram & 255, 7 - i) & 1").alias("bit"))
     trees = {}
-    own = split.groupBy("key").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
-    trees[depth] = cut(own.select("key", "n0", "n1", log_kt(F.col("n0"), F.col("n1")).alias("lw")))
+    own = split.groupBy("high", "node").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
+    trees[depth] = cut(own.select((F.col("high") + F.col("node")).alias("key"), "n0", "n1", log_kt(F.col("n0"), F.col("n1")).alias("lw")))
     one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
     for d in range(depth - 1, -1, -1):
         mask = (1 << (8 * d + 8)) - 1
@@ -70,9 +75,18 @@ def gram_scores(grams: DataFrame, depth: int) -> tuple[DataFrame, list[DataFrame
         here = trees[d].withColumn("up", F.col("key").bitwiseAND(F.lit(mask)))
         w = F.col("w") if d < depth else F.lit(1.0)
         at = here.join(at.withColumnRenamed("key", "up"), "up").select("key", (F.col("a") + F.col("b") * w * one).alias("a"), (F.col("b") * (1 - w)).alias("b"))
-    p = F.col("a")
-    # split is made by explode and larger than its estimate: never to be broadcast
-    return split.join(at.hint("merge"), "key").groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, p).otherwise(1 - p))).alias("score")), [*trees.values()]
+    nodes = at.groupBy(_high(F.col("key")).alias("high")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("node"), F.col("a").alias("p")))).alias("p"))
+    return nodes, [*trees.values()]
+
+
+def byte_score(gram: Column, p: Column) -> Column:
+    """log10 of the probability of a gram's last byte, from its context's nodes."""
+    total = F.lit(0.0)
+    byte = gram.bitwiseAND(F.lit(255)).cast("int")
+    for i in range(8):
+        one = F.element_at(p, (F.shiftright(byte, 8 - i) + (1 << i)).cast("int"))
+        total = total + F.log10(F.when(F.shiftright(byte, 7 - i).bitwiseAND(F.lit(1)) == 1, one).otherwise(1 - one))
+    return total
 
 
 def _plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,8 +214,9 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
     size = words.agg(F.sum("n").alias("n"), F.sum(F.when((F.col("place") == 1) & (F.col("total") > 0), 1)).alias("v")).first()
     n_all, v_all = int(size.n or 0), int(size.v or 0)
     counted = cut(of_grams.groupBy(F.col("a").alias("gram")).agg(F.sum("n").alias("n")))
-    scores, read = gram_scores(counted, depth)
-    values = cut(of_grams.select("shard", F.col("a").alias("gram")).join(scores.hint("merge"), "gram").select("shard", "gram", "score"))
+    nodes, read = context_models(counted, depth)
+    asked = of_grams.select("shard", F.col("a").alias("gram"), _high(F.col("a")).alias("high"))
+    values = cut(asked.join(nodes.hint("merge"), "high").select("shard", "gram", byte_score(F.col("gram"), F.col("p")).alias("score")))
     drop(asks, counted, *read)
     schema = T.StructType([*[docs.schema[c] for c in carry], *[T.StructField(x, T.LongType() if x.startswith(("n_", "train")) else T.DoubleType()) for x in new]])
 
