@@ -88,7 +88,9 @@ def l1_zscores(df: DataFrame, window: int = 20, *, symbol: str = "symbol", ts: s
     for c in columns if columns is not None else z_columns(df, l0=l0, l1=l1):
         x = finite(F.col(c).cast("double"))
         std = F.stddev_samp(x).over(frame)
-        z = F.when((F.count(x).over(frame) == window) & (std > 0), (x - F.avg(x).over(frame)) / std)
+        # rounding gives equal values a deviation of their own, so spread is told by the values: some must differ by more than rounding
+        high, low = F.max(x).over(frame), F.min(x).over(frame)
+        z = F.when((F.count(x).over(frame) == window) & (high - low > 1e-12 * F.greatest(F.abs(high), F.abs(low))) & (std > 0), (x - F.avg(x).over(frame)) / std)
         new[f"l1_z_w{window}_{c}"] = F.coalesce(finite(z), F.lit(0.0))
     return df.withColumns(new)
 

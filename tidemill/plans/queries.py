@@ -276,7 +276,7 @@ _Z = ["ts", "trade_date", "minute", "open", "high", "low", "close", "volume", "n
 
 def _z(c: str) -> str:
     x = f"CAST({c} AS DOUBLE)"
-    z = f"CASE WHEN count({x}) OVER {_H} = {WINDOW} AND stddev_samp({x}) OVER {_H} > 0 THEN ({x} - avg({x}) OVER {_H}) / stddev_samp({x}) OVER {_H} ELSE 0.0 END"
+    z = f"CASE WHEN count({x}) OVER {_H} = {WINDOW} AND max({x}) OVER {_H} - min({x}) OVER {_H} > 1e-12 * greatest(abs(max({x}) OVER {_H}), abs(min({x}) OVER {_H})) AND stddev_samp({x}) OVER {_H} > 0 THEN ({x} - avg({x}) OVER {_H}) / stddev_samp({x}) OVER {_H} ELSE 0.0 END"
     return sql_round(z, f"l1_z_w{WINDOW}_{c}", 4)
 
 
@@ -305,13 +305,13 @@ _LEAD = "lead(close, {n}) OVER (PARTITION BY symbol ORDER BY ts)"
 
 def _return(n: int) -> str:
     then = _LEAD.format(n=n)
-    return f"CASE WHEN close <> 0 THEN round({then} / close - 1, 6) + 0.0 WHEN {then} > 0 THEN CAST('inf' AS DOUBLE) WHEN {then} < 0 THEN CAST('-inf' AS DOUBLE) WHEN {then} = 0 THEN CAST('nan' AS DOUBLE) END AS label_fwd_ret_s{n}"
+    return f"CASE WHEN close <> 0 THEN {then} / close - 1 + 0.0 WHEN {then} > 0 THEN CAST('inf' AS DOUBLE) WHEN {then} < 0 THEN CAST('-inf' AS DOUBLE) WHEN {then} = 0 THEN CAST('nan' AS DOUBLE) END AS label_fwd_ret_s{n}"
 
 
 @query(f"WITH {HOUR_BARS} SELECT symbol, ts, {_return(1)}, {_return(5)} FROM b")
 def fwd_return(spark: SparkSession, sf: str) -> DataFrame:
     b = lb.forward_return(lb.forward_return(hour_bars(spark, sf), 1), 5)
-    return rounded(b.select("symbol", "ts", "label_fwd_ret_s1", "label_fwd_ret_s5"))
+    return b.select("symbol", "ts", *[(F.col(c) + 0.0).alias(c) for c in ("label_fwd_ret_s1", "label_fwd_ret_s5")])
 
 
 @query(f"WITH {HOUR_BARS} SELECT symbol, ts, CASE WHEN close > 0 AND {_LEAD.format(n=5)} > 0 THEN round(ln({_LEAD.format(n=5)}) - ln(close), 6) END + 0.0 AS label_fwd_logret_s5 FROM b")
