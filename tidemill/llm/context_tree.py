@@ -179,7 +179,7 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
     if not 1 <= depth <= 6:
         raise ValueError("depth: from 1 to 6")
     ship(docs.sparkSession)
-    parts = shards(docs, 12 << 20) | 1  # larger ones share more of their grams and words
+    parts = shards(docs, 8 << 20) | 1  # larger ones share more of their grams and words, and take more memory
     use = crc_fold(F.col("__key"), 5) != 1 if use is None else use
     new = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
     carry = [c for c in carry if c not in new]
