@@ -401,6 +401,25 @@ def test_long_chain(spark):
     assert smallest_reachable(chain.limit(0)).count() == 0
 
 
+def test_links_deal_few_rows(spark):
+    import random
+
+    from tidemill.llm.simhash import links
+
+    def dealt():
+        jvm = spark.sparkContext._jvm
+        store = spark.sparkContext._jsc.sc().statusStore()
+        stages = store.stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {(stages.apply(i).stageId(), stages.apply(i).attemptId()): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+    draw = random.Random(5)
+    prints = [draw.getrandbits(64) - (1 << 63) for _ in range(2000)]
+    df = spark.createDataFrame([(f,) for f in [*prints, prints[0] ^ 9]], "f long").repartition(4).localCheckpoint()
+    before = dealt()
+    assert [(r.a, r.b) for r in links(df).collect()] == [tuple(sorted((prints[0], prints[0] ^ 9)))]
+    assert sum(n for k, n in dealt().items() if k not in before) < 25 * len(prints)  # its 64 variants each were dealt, twice
+
+
 def test_simhash_edges(spark, docs):
     from tidemill.llm.simhash import components
 

@@ -2,7 +2,9 @@
 
 A fingerprint of 64 bits is cut into two segments of 32. Of two fingerprints that differ by at most two bits, one segment
 differs by at most one. Each segment is indexed by its 32 variants with one bit taken out: equal segments share them all, segments that
-differ in one bit share that bit's. An equality join on (segment, bit, variant) finds the pairs; the whole fingerprints verify them.
+differ in one bit share that bit's. Grouping by equal (segment, bit, variant) finds the pairs; the whole fingerprints verify them. Variants
+that lack one of the same four bits agree in the 28 others, so a segment is dealt by these, 8 rows instead of 32, and makes its variants
+where it then is; at most 16 values share such a row's key, so that is bounded, too.
 
 A variant is shared by two values of a segment at most. So a bucket is large only where a value of a segment belongs to more than `hot`
 different fingerprints. These values are counted first. Their fingerprints, and those that meet their buckets, don't enter the buckets:
@@ -75,18 +77,17 @@ def links(prints: DataFrame, *, hot: int = 64) -> DataFrame:
     # a segment's value and which segment it is, as one number: joins on one long stay small
     halves = prints.select("f", F.explode(F.array(F.expr(f"(f & {LOW}L) * 2"), F.expr(f"(shiftrightunsigned(f, 32) & {LOW}L) * 2 + 1"))).alias("h"))
     crowded = cut(halves.groupBy("h").count().where(F.col("count") > hot).select("h"), codec="snappy")
-    bits = F.explode(F.sequence(F.lit(0), F.lit(31)))
-    key = F.expr("(shiftright(h, 1) & ~shiftleft(1L, j)) * 64 + (h & 1) * 32 + j").alias("k")
-    calm = halves.join(crowded, "h", "left_anti").withColumn("j", bits).select(key, "f")
-    # a marker stands for all fingerprints of a crowded value
-    # merge joins where a side is made by explode: its size is estimated before that, and a broadcast of it would have no bound
-    marked = crowded.withColumn("j", bits).select(key).hint("merge")
-    index = calm.join(marked, "k", "left_anti")
-    left, right = index.select("k", F.col("f").alias("a")), index.select("k", F.col("f").alias("b"))
+    # a marker (no f) stands for all fingerprints of a crowded value
+    rows = halves.join(crowded, "h", "left_anti").unionByName(crowded.select(F.lit(None).cast("long").alias("f"), "h"))
+    # rows are dealt by the 28 bits beside a digit, eight rows a segment, and become variants where they then are
+    dealt = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(7)))).select("h", "f", F.expr("(shiftright(h, 1) & ~shiftleft(15L, 4 * d)) * 16 + (h & 1) * 8 + d").alias("g")).repartition("g")
+    variants = dealt.withColumn("j", F.explode(F.expr("sequence(4 * int(g & 7), 4 * int(g & 7) + 3)"))).select("g", "f", F.expr("(shiftright(h, 1) & ~shiftleft(1L, j)) * 64 + (h & 1) * 32 + j").alias("k"))
+    buckets = variants.groupBy("g", "k").agg(F.collect_list("f").alias("fs"), F.count("*").alias("n"))  # the list is without nulls
+    met = cut(buckets.where("n > 1 and size(fs) > 0").select("k", "fs", (F.col("n") > F.size("fs")).alias("marked")), codec="snappy")
     # equal segments meet in all 32 buckets: only the first counts
     apart = "if((k & 32) = 0, (a ^ b) & 4294967295L, shiftrightunsigned(a ^ b, 32)) <> 0"
-    near = left.join(right.hint("merge"), "k").where(f"a < b and bit_count(a ^ b) <= 2 and ((k & 31) = 0 or {apart})").select("a", "b")
-    hot_prints = halves.join(crowded, "h", "left_semi").select("f").unionByName(calm.join(marked, "k", "left_semi").select("f")).distinct()
+    near = met.where("not marked").select("k", "fs", F.explode("fs").alias("a")).select("a", F.explode(F.expr(f"filter(fs, b -> a < b and bit_count(a ^ b) <= 2 and ((k & 31) = 0 or {apart}))")).alias("b"))
+    hot_prints = halves.join(crowded, "h", "left_semi").select("f").unionByName(met.where("marked").select(F.explode("fs").alias("f"))).distinct()
     within = F.explode(F.sequence(F.lit(-1), F.lit(63)))
     around = hot_prints.withColumn("j", within).select(F.when(F.col("j") < 0, F.col("f")).otherwise(F.col("f").bitwiseXOR(flip("greatest(j, 0)"))).alias("k"), "f")
     centre = around.groupBy("k").agg(F.min("f").alias("a"), F.count("*").alias("n")).where("n > 1")
