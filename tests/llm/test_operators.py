@@ -401,6 +401,24 @@ def test_long_chain(spark):
     assert smallest_reachable(chain.limit(0)).count() == 0
 
 
+def test_grams_of_a_shard():
+    from collections import Counter
+
+    from tidemill.llm.context_tree import Grams, _tally_grams
+
+    draw = np.random.default_rng(3)
+    grams, learn = draw.integers(0, 1 << 56, 300, np.uint64)[draw.integers(0, 300, 5000)], draw.integers(0, 2, 5000)
+    grams[:9] = [0, 0, (1 << 56) - 1] * 3
+    keys, n = _tally_grams(grams, learn)
+    want = Counter(grams.tolist()) - Counter(grams[learn == 0].tolist())
+    assert keys.tolist() == sorted(set(grams.tolist())) and n.tolist() == [want[k] for k in keys.tolist()]
+    order = draw.permutation(len(keys))
+    assert (Grams(keys[order], keys[order] % 97 / 7).find(grams, grams) == grams % 97 / 7).all()
+    with pytest.raises(ValueError, match="a key that the model"):
+        Grams(keys[1:], n[1:]).find(grams, grams)
+    assert [len(x) for x in _tally_grams(grams[:0], learn[:0])] == [0, 0]
+
+
 def test_links_deal_few_rows(spark):
     import random
 

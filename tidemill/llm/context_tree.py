@@ -137,7 +137,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _tally(high: np.ndarray, low: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys of 128 bits, in order, and their sums."""
-    order = np.argsort(high, kind="stable")
+    order = np.argsort(high)
     a, b = high[order], low[order]
     if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
         order = np.lexsort((low, high))
@@ -146,6 +146,28 @@ def _tally(high: np.ndarray, low: np.ndarray, counts: np.ndarray) -> tuple[np.nd
     return a[at], b[at], np.add.reduceat(counts[order], at) if len(at) else counts[:0]
 
 
+def _tally_grams(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams, in order, and their sums; counts are 0 or 1, so a gram and its count are sorted as one number."""
+    both = np.sort(grams << np.uint64(1) | counts.astype(np.uint64))
+    keys = both >> np.uint64(1)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat((both & np.uint64(1)).astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+
+
+class Grams:
+    """What a shard has of the tree: scores by grams, each of which is there once."""
+
+    def __init__(self, grams: np.ndarray, values: np.ndarray):
+        self.at, self.values = Lookup(grams), values
+
+    def find(self, grams: np.ndarray, _: np.ndarray) -> np.ndarray:
+        """Scores of grams, all of which are there."""
+        k = self.at.find(grams)
+        if (k < 0).any():
+            raise ValueError("a key that the model doesn't have")
+        return self.values[k]
+
+
 class Slice:
     """What a shard has of the model: values by keys of 128 bits."""
 
@@ -200,7 +222,12 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         found = {False: [], True: []}
         for i, j in pieces(offs):
             for word, high, low, first in keys_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]):
-                found[word].append(_tally(high, low, np.repeat(learn[i:j], np.diff(first))))
+                n = np.repeat(learn[i:j], np.diff(first))
+                if word:
+                    found[word].append(_tally(high, low, n))
+                else:
+                    grams, n = _tally_grams(high, n)
+                    found[word].append((grams, low[: len(grams)], n))
         out = []
         for word, each in found.items():
             high, low, n = _tally(*(np.concatenate([x[k] for x in each]) for k in range(3)))
@@ -224,7 +251,7 @@ def score(docs: DataFrame, *, text: str = "text", key: str = "doc_id", carry: Se
         data, offs = texts_of(table.column("__text"))
         word = model.column("word").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
         high, low, value = (model.column(c).combine_chunks().to_numpy() for c in ("a", "b", "value"))
-        of = {w: Slice(high[word == w].view(np.uint64), low[word == w].view(np.uint64), value[word == w]) for w in (False, True)}
+        of = {False: Grams(high[~word].view(np.uint64), value[~word]), True: Slice(high[word].view(np.uint64), low[word].view(np.uint64), value[word])}
         out = []
         for i, j in pieces(offs):
             row = []
